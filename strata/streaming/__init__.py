@@ -1,0 +1 @@
+"""No streaming operators: every load is a full refresh and every table is rebuilt whole."""
