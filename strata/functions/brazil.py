@@ -30,28 +30,35 @@ def trimmed(text: Column) -> Column:
     return F.trim(text, F.lit(_SPACES))
 
 
+def ends_in_digit(cell: Column) -> Column:
+    """True for every number and date: a cheap test before the patterns."""
+    return F.right(cell, F.lit(1)).between("0", "9")
+
+
 def is_blank(text: Column) -> Column:
     """True for NULL and for cells without a value, however they are spaced."""
     cells = [c.replace(" ", "") for c in BLANK_CELLS]
     return text.isNull() | F.translate(text, _SPACES, "").isin(cells)
 
 
-def plain_number(text: Column) -> Column:
-    """Number text with a decimal point only, or NULL when it is no number."""
-    cell = trimmed(text)
+def plain_number(cell: Column) -> Column:
+    """Number text with a decimal point only, or NULL when it is no number.
+
+    The cell has no blanks around it.
+    """
     # Decimal comma to point; currency mark, thousands points and blanks vanish.
     plain = F.translate(cell, ",.R$" + _SPACES, ".")
-    return F.when(cell.rlike(BR_NUMBER), plain).when(cell.rlike(PLAIN_NUMBER), cell)
+    number = F.when(cell.rlike(BR_NUMBER), plain).when(cell.rlike(PLAIN_NUMBER), cell)
+    return F.when(ends_in_digit(cell), number)
 
 
-def parse_number(text: Column, dtype: T.DecimalType = NUMBER) -> Column:
-    """``R$ 1.234,56`` to 1234.56; blank and other text to NULL."""
-    return plain_number(text).try_cast(dtype)
+def cell_number(cell: Column, dtype: T.DecimalType = NUMBER) -> Column:
+    """Number of a cell that has no blanks around it."""
+    return plain_number(cell).try_cast(dtype)
 
 
-def parse_date(text: Column) -> Column:
-    """``31/12/2024`` or ``2024-12-31`` to a date; impossible dates to NULL."""
-    cell = trimmed(text)
+def cell_date(cell: Column) -> Column:
+    """Date of a cell that has no blanks around it."""
     first, *rest = DATE_FORMS
     out = F.when(cell.rlike(first[0]), F.try_to_date(cell, first[1]))
     for shape, fmt in rest:
@@ -59,6 +66,16 @@ def parse_date(text: Column) -> Column:
     return out
 
 
+def parse_number(text: Column, dtype: T.DecimalType = NUMBER) -> Column:
+    """``R$ 1.234,56`` to 1234.56; blank and other text to NULL."""
+    return cell_number(trimmed(text), dtype)
+
+
+def parse_date(text: Column) -> Column:
+    """``31/12/2024`` or ``2024-12-31`` to a date; impossible dates to NULL."""
+    return cell_date(trimmed(text))
+
+
 def number_text(value: Column, dtype: T.DataType) -> Column:
     """Number as text with its exact digits, without a Java style exponent.
 

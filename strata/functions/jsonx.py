@@ -25,7 +25,9 @@ def json_field(value: Column, field: str, dtype: T.DataType | None = None) -> Co
         if field not in dtype.names:
             return F.lit(None).cast("string")
         return _field_text(value.getField(field), dtype[field].dataType)
-    return F.from_json(value, _object_type(field)).getField(field)
+    if "'" in field:
+        return F.from_json(value, _object_type(field)).getField(field)
+    return F.get_json_object(value, _path(field))
 
 
 def json_array_join(
@@ -47,15 +49,19 @@ def json_array_join(
         parsed = F.from_json(value, T.ArrayType(_object_type(field))).getField(field)
         # An array that mixes objects with other elements does not fit the
         # typed parse; only those rows take the second, untyped one.
-        values = F.coalesce(parsed, _loose_fields(value, field))
-    kept = F.filter(values, lambda v: v.isNotNull())
-    return F.when(F.size(kept) > 0, F.array_join(kept, separator))
+        values = parsed if "'" in field else F.coalesce(parsed, _loose_fields(value, field))
+    joined = F.array_join(values, separator)
+    # Joining skips nulls, so empty text means no value at all, or empty ones.
+    return F.when((joined != "") | F.array_contains(values, ""), joined)
 
 
 def _loose_fields(value: Column, field: str) -> Column:
-    path = "$['" + field.replace("'", "\\'") + "']"
     variants = F.try_variant_get(F.try_parse_json(value), "$", "array<variant>")
-    return F.transform(variants, lambda v: F.try_variant_get(v, path, "string"))
+    return F.transform(variants, lambda v: F.try_variant_get(v, _path(field), "string"))
+
+
+def _path(field: str) -> str:
+    return f"$['{field}']"
 
 
 def _field_text(value: Column, dtype: T.DataType) -> Column:

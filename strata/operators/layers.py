@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -14,10 +15,11 @@ from strata.session import WRITERS, in_parallel
 
 log = logging.getLogger(__name__)
 
-# A table under this suffix is being computed; it takes the final name when done.
-STAGED_SUFFIX = "__new"
+# A table with this mark is being computed; it takes the final name when done.
+STAGED_MARK = "__new_"
 
-RUN_LOG_SCHEMA = "execucao_at timestamp_ntz, schema_origem string, schema_destino string"
+# The columns of the run log.
+RUN_AT, RUN_SOURCE, RUN_TARGET = "execucao_at", "schema_origem", "schema_destino"
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> str:
@@ -35,7 +37,7 @@ def list_tables(spark: SparkSession, database: str, exclude: tuple[str, ...] | l
         for t in spark.catalog.listTables(database)
         if t.tableType not in ("VIEW", "TEMPORARY")
         and t.name.lower() not in hidden
-        and not t.name.lower().endswith(STAGED_SUFFIX)
+        and STAGED_MARK not in t.name.lower()
     )
 
 
@@ -43,10 +45,13 @@ def write_table(df: DataFrame, database: str, table: str) -> str:
     """Replace a table by the rows of ``df``.
 
     The rows go to a staged table first, so the old table stays readable until
-    the new one is complete, and ``df`` may read the table it replaces.
+    the new one is complete, and ``df`` may read the table it replaces. Every
+    attempt stages under a new name: what a killed driver leaves behind cannot
+    block the next run.
     """
     spark = df.sparkSession
-    staged, final = qualified(database, table + STAGED_SUFFIX), qualified(database, table)
+    staged = qualified(database, table + STAGED_MARK + uuid.uuid4().hex[:8])
+    final = qualified(database, table)
     df.write.mode("overwrite").format("parquet").saveAsTable(staged)
     spark.sql(f"DROP TABLE IF EXISTS {final}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
@@ -107,7 +112,11 @@ def run_log(
 ) -> DataFrame:
     """Append one row for this run to the log table of the target, and return the log."""
     at = run_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(at, source_db, target_db)], RUN_LOG_SCHEMA)
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(at.isoformat(" ")).cast("timestamp_ntz").alias(RUN_AT),
+        F.lit(source_db).alias(RUN_SOURCE),
+        F.lit(target_db).alias(RUN_TARGET),
+    )
     name = qualified(target_db, run_log_table(subject))
-    row.coalesce(1).write.mode("append").format("parquet").saveAsTable(name)
-    return spark.table(name).orderBy(F.col("execucao_at"))
+    row.write.mode("append").format("parquet").saveAsTable(name)
+    return spark.table(name).orderBy(RUN_AT)

@@ -49,7 +49,7 @@ def profile_table(df: DataFrame, table: str, profiled_at: datetime) -> DataFrame
         "row_count",
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
         "size_in_bytes",
-        F.lit(profiled_at).cast("timestamp_ntz").alias("profiled_at"),
+        F.lit(profiled_at.isoformat(" ")).cast("timestamp_ntz").alias("profiled_at"),
     )
 
 

@@ -7,8 +7,6 @@ bounded by the width of the table. ``apply_types`` is a plain projection.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +14,6 @@ from pyspark.sql import types as T
 from strata.functions import brazil
 from strata.functions.names import check_case_collisions, col, split_technical
 
-# Columns per aggregate. Wider tables are handled in several aggregates of one
-# job, each reading its own columns only, which keeps the generated code small
-# enough to be compiled.
-CHUNK = 24
-
 # Every cell becomes one number: its kind, or for a number its digit counts as
 # ``integer digits * DIGITS + fraction digits``.
 _DIGITS = 100_000
@@ -42,75 +35,55 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Report the type of each text column as ``numeric``, ``date`` or ``text``.
 
     A column is numeric (a date) when it has a value and all its values are
-    numbers (dates); cells without a value are ignored.
+    numbers (dates); cells without a value are ignored. A table without rows
+    gives an empty report.
+
+    The cells are unpivoted, so the plan and its generated code stay the same
+    size however wide the table is, and the counts of all tasks meet by column
+    instead of in one task.
     """
     check_case_collisions(df.columns)
     names = text_columns(df) if columns is None else list(columns)
     if not names:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    chunks = [names[i : i + CHUNK] for i in range(0, len(names), CHUNK)]
-    return reduce(DataFrame.unionAll, [_report(df, chunk) for chunk in chunks])
-
-
-def _report(df: DataFrame, names: list[str]) -> DataFrame:
-    ids = range(len(names))
-    cells = df.select(
-        *[col(n).alias(f"v{i}") for i, n in enumerate(names)],
-        *[brazil.plain_number(col(n)).alias(f"n{i}") for i, n in enumerate(names)],
-    )
-    kinds = cells.select(*[_kind(F.col(f"v{i}"), F.col(f"n{i}")).alias(f"k{i}") for i in ids])
-    totals = kinds.agg(
-        F.count("*").alias("rows"),
-        *[a for i in ids for a in _counts(F.col(f"k{i}"), i)],
+    cells = df.unpivot([], [col(n) for n in names], "column", "value")
+    # Each step uses the one before several times; as steps they run once.
+    cells = cells.select("column", brazil.trimmed(F.col("value")).alias("cell"))
+    cells = cells.select("column", "cell", brazil.plain_number(F.col("cell")).alias("number"))
+    kinds = cells.select("column", _kind(F.col("cell"), F.col("number")).alias("kind"))
+    kind = F.col("kind")
+    digits = F.when(kind >= 0, kind)
+    counts = kinds.groupBy("column").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(kind == _BLANK).alias("n_blank"),
+        F.count(digits).alias("n_numeric"),
+        F.count_if(kind == _DATE).alias("n_date"),
+        F.coalesce(F.max(F.floor(digits / _DIGITS)), F.lit(0)).alias("integer_digits"),
+        F.coalesce(F.max(digits % _DIGITS), F.lit(0)).alias("fraction_digits"),
     )
-    rows = F.inline(F.array(*[_entry(name, i) for i, name in enumerate(names)]))
-    return totals.select(rows).select(
-        "column",
-        F.when(F.col("n_rows") == F.col("n_blank"), "text")
-        .when(F.col("n_numeric") == F.col("n_rows") - F.col("n_blank"), "numeric")
-        .when(F.col("n_date") == F.col("n_rows") - F.col("n_blank"), "date")
+    values = F.col("n_rows") - F.col("n_blank")
+    inferred = (
+        F.when(values == 0, "text")
+        .when(F.col("n_numeric") == values, "numeric")
+        .when(F.col("n_date") == values, "date")
         .otherwise("text")
-        .alias("inferred_type"),
-        *["n_rows", "n_blank", "n_numeric", "n_date", "integer_digits", "fraction_digits"],
     )
+    return counts.select("column", inferred.alias("inferred_type"), *counts.columns[1:])
 
 
-def _kind(value: Column, number: Column) -> Column:
+def _kind(cell: Column, number: Column) -> Column:
     digits = F.ltrim(number, F.lit("-"))
     point = F.instr(digits, ".")
     whole = F.when(point > 0, point - 1).otherwise(F.length(digits))
     fraction = F.when(point > 0, F.length(digits) - point).otherwise(F.lit(0))
     return (
         F.when(number.isNotNull(), whole.cast("bigint") * _DIGITS + fraction)
-        .when(brazil.is_blank(value), _BLANK)
-        .when(brazil.parse_date(value).isNotNull(), _DATE)
+        .when(brazil.is_blank(cell), _BLANK)
+        .when(brazil.cell_date(cell).isNotNull(), _DATE)
         .otherwise(_TEXT)
     )
 
 
-def _counts(kind: Column, i: int) -> list[Column]:
-    number = kind >= 0
-    return [
-        F.count_if(kind == _BLANK).alias(f"b{i}"),
-        F.count_if(number).alias(f"c{i}"),
-        F.count_if(kind == _DATE).alias(f"d{i}"),
-        F.max(F.when(number, F.floor(kind / _DIGITS))).alias(f"w{i}"),
-        F.max(F.when(number, kind % _DIGITS)).alias(f"f{i}"),
-    ]
-
-
-def _entry(name: str, i: int) -> Column:
-    return F.struct(
-        F.lit(name).alias("column"),
-        F.col("rows").alias("n_rows"),
-        F.col(f"b{i}").alias("n_blank"),
-        F.col(f"c{i}").alias("n_numeric"),
-        F.col(f"d{i}").alias("n_date"),
-        F.coalesce(F.col(f"w{i}"), F.lit(0)).alias("integer_digits"),
-        F.coalesce(F.col(f"f{i}"), F.lit(0)).alias("fraction_digits"),
-    )
-
-
 def number_type(integer_digits: int, fraction_digits: int) -> T.DecimalType | None:
     """Decimal that holds every value exactly: the usual scale, or as much as is needed.
 
@@ -140,25 +113,36 @@ def apply_types(
         raise ValueError(f"both forced numeric and kept as text: {sorted(forced & kept)}")
     found = {r["column"]: r for r in report.collect()}
     technical, business = split_technical(df.columns)
-    return df.select(
-        *[col(n) for n in technical],
-        *[_typed(df, n, found.get(n), n in forced, n in kept).alias(n) for n in business],
+    targets = {
+        n: _target(found.get(n), n in forced)
+        for n in text_columns(df)
+        if n not in kept
+    }
+    cast = {n: t for n, t in targets.items() if t is not None}
+    # Parsing looks at a cell several times; as a step of its own the trim runs once.
+    cells = df.select(
+        *[brazil.trimmed(col(n)).alias(n) if n in cast else col(n) for n in technical + business]
+    )
+    return cells.select(
+        *[_parsed(col(n), cast[n]).alias(n) if n in cast else col(n) for n in technical + business]
     )
 
 
-def _typed(df: DataFrame, name: str, entry, forced: bool, kept: bool) -> Column:
-    value = col(name)
-    if kept or not isinstance(df.schema[name].dataType, T.StringType):
-        return value
+def _target(entry, forced: bool) -> T.DataType | None:
+    """Type to convert a column to; None leaves it as it is."""
     kind = "numeric" if forced else entry["inferred_type"] if entry else "text"
-    if kind == "numeric":
-        dtype = number_type(entry["integer_digits"], entry["fraction_digits"]) if entry else None
-        if dtype is None and not forced:
-            return value
-        return brazil.parse_number(value, dtype or brazil.NUMBER)
     if kind == "date":
-        return brazil.parse_date(value)
-    return value
+        return T.DateType()
+    if kind == "text":
+        return None
+    dtype = number_type(entry["integer_digits"], entry["fraction_digits"]) if entry else None
+    return dtype or (brazil.NUMBER if forced else None)
+
+
+def _parsed(cell: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.DecimalType):
+        return brazil.cell_number(cell, dtype)
+    return brazil.cell_date(cell)
 
 
 def type_columns(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +34,13 @@ def discover_codes(spark: SparkSession, database: str, patterns: list[str]) -> l
     Patterns are case-insensitive; ``%`` and ``_`` are wildcards. Names without
     a code are dropped. The work is on the table list only.
     """
-    names = [(t.name,) for t in spark.catalog.listTables(database) if t.tableType != "VIEW"]
-    tables = spark.createDataFrame(names, "name string")
-    wanted = F.lit(False)
-    for pattern in patterns:
-        wanted = wanted | F.col("name").ilike(pattern)
-    return [r.code for r in distinct_codes(tables.filter(wanted), "name").collect()]
+    shapes = [
+        re.compile(re.escape(p).replace("%", ".*").replace("_", "."), re.IGNORECASE | re.DOTALL)
+        for p in patterns
+    ]
+    names = [t.name for t in spark.catalog.listTables(database) if t.tableType != "VIEW"]
+    codes = [re.search(CODE_PATTERN, n) for n in names if any(s.fullmatch(n) for s in shapes)]
+    return sorted({code.group().lower() for code in codes if code})
 
 
 def distinct_codes(df: DataFrame, source_column: str = SOURCE_COLUMN) -> DataFrame:

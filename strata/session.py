@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 A = TypeVar("A")
 B = TypeVar("B")
@@ -32,6 +32,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Divide an input that arrives in fewer partitions than there are cores.
+
+    A small file of one row group, or a sheet whose cells hold line breaks, is
+    read by a single task, and so is all the work on it. Inputs with enough
+    partitions, as any large table has, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def in_parallel(
     spark: SparkSession, work: Callable[[A], B], items: Iterable[A], threads: int = WRITERS
 ) -> list[B]:

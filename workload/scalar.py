@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 import strata
 from strata.operators.nullfill import CURRENCY_KEYWORDS
-from workload.inputs import money, table, text_orders, words
+from workload.inputs import heavy, money, table, text_orders, words
 
 
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = heavy(spark, sf_dir, "pages")
     return pages.select("page_id", strata.strip_html(F.col("html")).alias("body"))
 
 
@@ -53,7 +53,7 @@ FROM events
 
 
 def json_array_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = heavy(spark, sf_dir, "documents")
     stored = documents.select("doc_id", words(F.col("text"), "FullName").alias("followers"))
     return stored.select(
         "doc_id", strata.json_array_join(F.col("followers"), "FullName").alias("followers")
@@ -69,7 +69,7 @@ FROM documents
 
 
 def br_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = heavy(spark, sf_dir, "lineitem")
     stored = lines.select("l_orderkey", "l_linenumber", money(F.col("l_extendedprice")).alias("price"))
     return stored.withColumn("price", strata.parse_number(F.col("price")).cast("double"))
 
@@ -83,7 +83,7 @@ FROM lineitem
 
 def forced_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     discount = F.col("l_discount")
-    stored = table(spark, sf_dir, "lineitem").select(
+    stored = heavy(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.when(discount == 0, "R$ -").when(discount == 0.1, "10%").otherwise(money(discount)).alias("discount"),

@@ -15,6 +15,7 @@ from workload.inputs import (
     amount_text,
     fresh_db,
     fresh_subject,
+    heavy,
     in_db,
     money,
     raw_tickets,
@@ -392,7 +393,7 @@ def _raw_id(*keys: str):
 
 def schedules_bank_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bank tables of three schedules that differ in columns and notation."""
-    orders = table(spark, sf_dir, "orders")
+    orders = heavy(spark, sf_dir, "orders")
     part = lambda status: orders.filter(F.col("o_orderstatus") == status)
     key, level = F.col("o_orderkey").cast("string").alias("MK"), F.col("o_orderpriority")
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
@@ -432,7 +433,7 @@ FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'mk101' WHEN 'O' THEN 'mk202' E
 
 def schedules_activities_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as activity tables; the column names hold nothing in common but two."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = heavy(spark, sf_dir, "lineitem")
     part = lambda flag: lines.filter(F.col("l_returnflag") == flag)
     item = F.col("l_partkey").cast("string").alias("No_EAP")
     cost = money(F.col("l_extendedprice")).alias("VALOR_DA_ATIVIDADE")
@@ -467,7 +468,7 @@ FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 'mk7' WHEN 'N' THEN 'mk8' ELSE '
 
 def schedules_deliveries_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as delivery tables with alternating money columns, two of them placeholders."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = heavy(spark, sf_dir, "lineitem")
     part = lambda flag: lines.filter(F.col("l_returnflag") == flag)
     price, tax = money(F.col("l_extendedprice")), money(F.col("l_tax"))
     item = F.col("l_partkey").cast("string").alias("ENTREGA")
