@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,8 @@ from strata.functions.brazil import number_text
 from strata.functions.names import RAW_ID, check_case_collisions, col, family, qualified
 from strata.operators.layers import list_tables
 
+log = logging.getLogger(__name__)
+
 _SOURCE, _TARGET = 1, 2
 
 
@@ -40,8 +43,13 @@ def reconcile(
         raise ValueError("no shared column to compare")
     kinds = [(source.schema[n].dataType, target.schema[n].dataType) for n in shared]
     source_key, target_key = source.schema[key].dataType, target.schema[key].dataType
-    left = _prints(source, key, shared, [(s, s != t) for s, t in kinds], _SOURCE, (source_key, source_key != target_key))
-    right = _prints(target, key, shared, [(t, s != t) for s, t in kinds], _TARGET, (target_key, source_key != target_key))
+    differ = source_key != target_key
+    left = _prints(
+        source, key, shared, [(s, s != t) for s, t in kinds], _SOURCE, (source_key, differ)
+    )
+    right = _prints(
+        target, key, shared, [(t, s != t) for s, t in kinds], _TARGET, (target_key, differ)
+    )
     ids = range(len(shared))
     keys = left.unionAll(right).groupBy("key").agg(
         F.count_if(F.col("side") == _SOURCE).alias("ns"),
@@ -111,17 +119,19 @@ def reconcile_layers(
 ) -> DataFrame:
     """``reconcile`` for every table that both databases hold under the same name.
 
-    Tables present in one database only are left out; no common table at all is
-    an error.
+    Tables present in one database only are left out. Tables without the key, as
+    run logs, are skipped with a warning. Nothing to compare is an error.
     """
     in_target = set(list_tables(spark, target_db, exclude))
-    common = [t for t in list_tables(spark, source_db, exclude) if t in in_target]
-    if not common:
-        raise ValueError(f"{source_db!r} and {target_db!r} have no table in common")
-    parts = [
-        reconcile(
-            spark.table(qualified(source_db, t)), spark.table(qualified(target_db, t)), key, t
-        )
-        for t in common
-    ]
+    parts = []
+    for table in list_tables(spark, source_db, exclude):
+        if table not in in_target:
+            continue
+        source, target = [spark.table(qualified(db, table)) for db in (source_db, target_db)]
+        if key in source.columns and key in target.columns:
+            parts.append(reconcile(source, target, key, table))
+        else:
+            log.warning("table %s has no %s, skipped", table, key)
+    if not parts:
+        raise ValueError(f"{source_db!r} and {target_db!r} have no table in common with {key!r}")
     return reduce(DataFrame.unionAll, parts)

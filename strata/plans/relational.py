@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.functions.names import layer_db
 from strata.operators.layers import run_log, run_log_table, transform_layer
 from strata.operators.nullfill import CURRENCY_KEYWORDS, null_fill
+from strata.session import WRITERS
 
 
 def finance_mart(raw: DataFrame) -> DataFrame:
@@ -23,21 +24,31 @@ def crm_mart(raw: DataFrame, currency_keywords: list[str] | None = None) -> Data
 
 
 def run_finance(
-    spark: SparkSession, raw_db: str, subject: str = "finance", run_at: datetime | None = None
+    spark: SparkSession,
+    raw_db: str,
+    subject: str = "finance",
+    run_at: datetime | None = None,
+    debug_limit: int | None = None,
+    threads: int = WRITERS,
 ) -> list[str]:
     """Rebuild every finance table in the mart layer, and log the run."""
-    return _run(spark, raw_db, subject, finance_mart, run_at)
+    return _run(spark, raw_db, subject, finance_mart, run_at, debug_limit, threads)
 
 
 def run_crm(
-    spark: SparkSession, raw_db: str, subject: str = "crm", run_at: datetime | None = None
+    spark: SparkSession,
+    raw_db: str,
+    subject: str = "crm",
+    run_at: datetime | None = None,
+    debug_limit: int | None = None,
+    threads: int = WRITERS,
 ) -> list[str]:
     """Rebuild every customer relations table in the mart layer, and log the run."""
-    return _run(spark, raw_db, subject, crm_mart, run_at)
+    return _run(spark, raw_db, subject, crm_mart, run_at, debug_limit, threads)
 
 
-def _run(spark, raw_db, subject, transform, run_at) -> list[str]:
-    target = layer_db("mart", subject)
-    tables = transform_layer(spark, raw_db, target, transform, [run_log_table(subject)])
+def _run(spark, raw_db, subject, transform, run_at, debug_limit, threads) -> list[str]:
+    target, log = layer_db("mart", subject), [run_log_table(subject)]
+    tables = transform_layer(spark, raw_db, target, transform, log, debug_limit, threads)
     run_log(spark, raw_db, target, subject, run_at)
     return tables

@@ -57,10 +57,19 @@ def mart(stg: DataFrame) -> DataFrame:
     return null_fill(stg, skip=UNFILLED)
 
 
-def run(spark: SparkSession, raw_table: str, subject: str = "tickets", table: str = TABLE) -> DataFrame:
+def run(
+    spark: SparkSession,
+    raw_table: str,
+    subject: str = "tickets",
+    table: str = TABLE,
+    debug_limit: int | None = None,
+) -> DataFrame:
     """Rebuild the staging and mart tables from a raw table given as ``database.table``."""
+    raw = spark.table(raw_table)
+    if debug_limit is not None:
+        raw = raw.limit(debug_limit)
     stg_db = create_database(spark, layer_db("stg", subject))
     mart_db = create_database(spark, layer_db("mart", subject))
-    write_table(staging(spark.table(raw_table)), stg_db, table)
+    write_table(staging(raw), stg_db, table)
     write_table(mart(spark.table(qualified(stg_db, table))), mart_db, table)
     return spark.table(qualified(mart_db, table))

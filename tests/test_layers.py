@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import strata
+from strata.__main__ import run_command
 from strata.functions.names import TECHNICAL_COLUMNS, layer_db
 from strata.operators.layers import STAGED_MARK, run_log_table
 from strata.plans import relational, schedules, sheets, tickets
@@ -313,6 +314,34 @@ def test_scratch_dir_is_below_the_shared_folder(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_scratch_dir_without_a_shared_folder():
+    class Session:
+        def __init__(self, master):
+            self.conf = {"spark.master": master}
+
+    assert scratch_dir(Session("local[2]"), "x").startswith("/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("spark://host:7077"), "x")
+
+
+def test_command_line(spark, source, subject, capsys):
+    run_command(spark, ["sheets", source, "--subject", subject, "--threads", "2"])
+    run_command(spark, ["profile", layer_db("mart", subject)])
+    assert "costs" in capsys.readouterr().out
+    run_command(spark, ["reconcile", layer_db("raw", subject), layer_db("mart", subject)])
+    assert "null_filled" in capsys.readouterr().out
+    run_command(spark, ["export", layer_db("mart", subject), scratch_dir(spark, "cli")])
+    raw = strata.create_database(spark, f"raw_{subject}2")
+    strata.write_table(spark.range(3), raw, "t")
+    run_command(spark, ["finance", raw, "--subject", f"{subject}2", "--debug-limit", "2"])
+    assert table(spark, layer_db("mart", f"{subject}2"), "t").count() == 2
+    run_command(spark, ["crm", raw, "--subject", f"{subject}2"])
+    run_command(spark, ["schedules", raw, "--subject", f"{subject}2"])
+    assert table(spark, layer_db("mart", f"{subject}2"), "fct_banco").count() == 0
+    with pytest.raises(SystemExit):
+        run_command(spark, ["nothing"])
+
+
 def test_spread(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 import strata
 from strata.functions.jsonx import json_array_join, json_field
+from workload.scalar import BLANKED
 
 
 def values(spark, cells, expression, schema="x string"):
@@ -33,7 +34,7 @@ def test_strip_html_long_runs(spark):
 def test_strip_html_equals_three_steps(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     steps = F.col("html")
-    for pattern in (r"<[^>]*>", r"&[a-zA-Z]+;|&#[0-9]+;", r"\s+"):
+    for pattern in BLANKED:
         steps = F.regexp_replace(steps, pattern, " ")
     assert pages.filter(strata.strip_html(F.col("html")) != F.trim(steps)).count() == 0
 

@@ -15,12 +15,17 @@ def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", strata.strip_html(F.col("html")).alias("body"))
 
 
-HTML_STRIP = r"""
-SELECT page_id,
-       trim(regexp_replace(regexp_replace(regexp_replace(
-           html, '<[^>]*>', ' ', 'g'), '&[a-zA-Z]+;|&#[0-9]+;', ' ', 'g'), '\s+', ' ', 'g')) AS body
-FROM pages
-"""
+# What becomes a blank in the text of a page, one after the other.
+BLANKED = ["<[^>]*>", "&[a-zA-Z]+;|&#[0-9]+;", r"\s+"]
+
+
+def plain_text_sql(column: str) -> str:
+    for pattern in BLANKED:
+        column = f"regexp_replace({column}, '{pattern}', ' ', 'g')"
+    return f"trim({column})"
+
+
+HTML_STRIP = f"SELECT page_id, {plain_text_sql('html')} AS body FROM pages"
 
 
 def enum_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:

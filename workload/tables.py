@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import strata
 from strata.functions.names import TECHNICAL_COLUMNS, layer_db, q
 from strata.plans import relational, schedules, sheets, tickets
-from strata.session import scratch_dir
+from strata.session import in_parallel, scratch_dir, spread
 from workload.inputs import (
     amount_text,
     fresh_db,
@@ -23,7 +23,7 @@ from workload.inputs import (
     table,
     text_orders,
 )
-from workload.scalar import GAPS, TEXT_ORDERS, _gaps
+from workload.scalar import GAPS, TEXT_ORDERS, _gaps, plain_text_sql
 
 RUN_AT = datetime(2024, 1, 1)
 
@@ -54,7 +54,7 @@ UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier
 def _gap_tables(spark: SparkSession, sf_dir: str) -> str:
     """A database with two tables that hold NULLs."""
     database = fresh_db(spark, "gaps")
-    strata.write_table(_gaps(spark, sf_dir), database, "lines")
+    strata.write_table(spread(_gaps(spark, sf_dir)), database, "lines")
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
@@ -310,12 +310,10 @@ FROM customer, (VALUES ('buyer'), ('payer')) r(role)
 
 # ---------------------------------------------------------------- tickets
 
-TICKET_CLEAN = r"""
+TICKET_CLEAN = rf"""
 SELECT 'r' || o_orderkey AS _airbyte_raw_id, o_orderdate AS _airbyte_extracted_at,
-       '{}' AS _airbyte_meta, CAST(CASE WHEN o_orderstatus <> 'O' THEN 7 END AS BIGINT) AS _airbyte_generation_id,
-       o_orderkey AS ID_,
-       trim(regexp_replace(regexp_replace(regexp_replace(
-           html, '<[^>]*>', ' ', 'g'), '&[a-zA-Z]+;|&#[0-9]+;', ' ', 'g'), '\s+', ' ', 'g')) AS Body,
+       '{{}}' AS _airbyte_meta, CAST(CASE WHEN o_orderstatus <> 'O' THEN 7 END AS BIGINT) AS _airbyte_generation_id,
+       o_orderkey AS ID_, {plain_text_sql("html")} AS Body,
        o_orderstatus AS Status, replace(regexp_replace(o_orderpriority, '^\d-', ''), '-', '_') AS Priority,
        CASE WHEN o_orderpriority <> '1-URGENT' THEN replace(o_orderpriority, ' ', ', ') END AS Followers,
        o_orderpriority AS Department,
@@ -382,8 +380,7 @@ def tickets_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _schedules(spark: SparkSession, raw: dict[str, DataFrame], kind: schedules.Kind) -> DataFrame:
     subject = fresh_subject(spark, "schedules", ("raw", "stg", "int", "mart"))
     raw_db = layer_db("raw", subject)
-    for name, df in raw.items():
-        strata.write_table(df, raw_db, name)
+    in_parallel(spark, lambda item: strata.write_table(item[1], raw_db, item[0]), raw.items())
     return schedules.run(spark, raw_db, kinds=[kind], subject=subject)[kind.table]
 
 
