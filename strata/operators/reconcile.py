@@ -17,6 +17,11 @@ log = logging.getLogger(__name__)
 
 _SOURCE, _TARGET = 1, 2
 
+# Wider tables are compared in several groups of columns, each reading its own
+# columns and the key. The NULLs of a group fit one 64-bit mask, and its
+# generated code stays small.
+COLUMNS_AT_ONCE = 40
+
 
 def reconcile(
     source: DataFrame, target: DataFrame, key: str = RAW_ID, table: str = ""
@@ -41,73 +46,86 @@ def reconcile(
     shared = [n for n in source.columns if n in target.columns and n != key]
     if not shared:
         raise ValueError("no shared column to compare")
-    kinds = [(source.schema[n].dataType, target.schema[n].dataType) for n in shared]
-    source_key, target_key = source.schema[key].dataType, target.schema[key].dataType
-    differ = source_key != target_key
-    left = _prints(
-        source, key, shared, [(s, s != t) for s, t in kinds], _SOURCE, (source_key, differ)
-    )
-    right = _prints(
-        target, key, shared, [(t, s != t) for s, t in kinds], _TARGET, (target_key, differ)
-    )
-    ids = range(len(shared))
-    keys = left.unionAll(right).groupBy("key").agg(
-        F.count_if(F.col("side") == _SOURCE).alias("ns"),
-        F.count_if(F.col("side") == _TARGET).alias("nt"),
-        *[F.bit_xor(f"{p}{i}").alias(f"{p}{i}") for p in "ab" for i in ids],
-        *[F.bit_or(f"z{i}").alias(f"z{i}") for i in ids],
+    parts = [
+        _compare(source, target, key, table, shared[start : start + COLUMNS_AT_ONCE])
+        for start in range(0, len(shared), COLUMNS_AT_ONCE)
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _compare(source, target, key: str, table: str, names: list[str]) -> DataFrame:
+    # The expressions of a column are SQL text: built as such, a wide table
+    # costs a few calls per column instead of some dozens.
+    left = _prints(source, target, key, names, _SOURCE)
+    right = _prints(target, source, key, names, _TARGET)
+    ids = range(len(names))
+    sums = ["sum(in_source) AS ns", "sum(in_target) AS nt"]
+    sums += [f"bit_or({c}) AS {c}" for c in ("source_nulls", "target_nulls")]
+    sums += [f"bit_xor({p}{i}) AS {p}{i}" for p in "ab" for i in ids]
+    keys = left.unionAll(right).groupBy("key").agg(*map(F.expr, sums))
+    unpaired = "key IS NULL OR ns > 1 OR nt > 1"
+    flags = keys.selectExpr(
+        "key IS NOT NULL AND ns = 1 AND nt = 1 AS paired",
+        "key IS NOT NULL AND ns = 1 AND nt = 0 AS missing",
+        "key IS NOT NULL AND ns = 0 AND nt = 1 AS extra",
+        f"IF({unpaired}, ns, 0) AS unpaired_source",
+        f"IF({unpaired}, nt, 0) AS unpaired_target",
+        *[f"{_equal(i)} AS e{i}" for i in ids],
+        *[f"{_null('source', i)} AND NOT {_null('target', i)} AS f{i}" for i in ids],
     )
-    paired = F.col("key").isNotNull() & (F.col("ns") == 1) & (F.col("nt") == 1)
-    single = F.col("key").isNotNull() & (F.col("ns") <= 1) & (F.col("nt") <= 1)
-    totals = keys.agg(
-        F.count_if(single & (F.col("nt") == 0)).alias("missing"),
-        F.count_if(single & (F.col("ns") == 0)).alias("extra"),
-        F.coalesce(F.sum(F.when(~single, F.col("ns"))), F.lit(0)).alias("unpaired_source"),
-        F.coalesce(F.sum(F.when(~single, F.col("nt"))), F.lit(0)).alias("unpaired_target"),
-        F.count_if(paired).alias("paired"),
-        *[F.count_if(paired & _equal(i)).alias(f"m{i}") for i in ids],
-        *[F.count_if(paired & (F.col(f"z{i}") == _SOURCE)).alias(f"f{i}") for i in ids],
+    counts = [f"count(IF({c}, 1, NULL)) AS {c}" for c in ("paired", "missing", "extra")]
+    counts += [f"coalesce(sum({c}), 0) AS {c}" for c in ("unpaired_source", "unpaired_target")]
+    counts += [f"count(IF(paired AND {p}{i}, 1, NULL)) AS {p}{i}" for p in "ef" for i in ids]
+    rows = ", ".join(
+        f"struct({_literal(table)} AS table_name, {_literal(name)} AS column_name, e{i} AS matched, "
+        f"paired - e{i} - f{i} AS changed, f{i} AS null_filled, "
+        "missing, extra, unpaired_source, unpaired_target)"
+        for i, name in enumerate(names)
     )
-    entries = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(name).alias("column_name"),
-            F.col(f"m{i}").alias("matched"),
-            (F.col("paired") - F.col(f"m{i}") - F.col(f"f{i}")).alias("changed"),
-            F.col(f"f{i}").alias("null_filled"),
-            *["missing", "extra", "unpaired_source", "unpaired_target"],
-        )
-        for i, name in enumerate(shared)
-    ]
-    return totals.select(F.inline(F.array(*entries)))
+    return flags.agg(*map(F.expr, counts)).selectExpr(f"inline(array({rows}))")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _equal(i: int) -> Column:
+def _null(side: str, i: int) -> str:
+    return f"({side}_nulls & {1 << i}L) <> 0"
+
+
+def _equal(i: int) -> str:
     # One value on each side: the exclusive or of equal fingerprints is zero.
-    nulls = F.col(f"z{i}")
-    same = (F.col(f"a{i}") == 0) & (F.col(f"b{i}") == 0)
-    return same & nulls.isin(0, _SOURCE | _TARGET)
+    return f"a{i} = 0 AND b{i} = 0 AND ({_null('source', i)}) = ({_null('target', i)})"
 
 
-def _prints(df, key, names, kinds, side, key_kind) -> DataFrame:
-    values = [_comparable(col(n), dtype, as_text) for n, (dtype, as_text) in zip(names, kinds)]
+def _prints(df: DataFrame, other: DataFrame, key: str, names: list[str], side: int) -> DataFrame:
+    """Key, side, two fingerprints per column, and a bit mask of the columns that are NULL."""
+    values = df.select(
+        _comparable(df, other, key).alias("key"),
+        *[_comparable(df, other, n).alias(f"v{i}") for i, n in enumerate(names)],
+    )
     ids = range(len(names))
-    return df.select(
-        _comparable(col(key), *key_kind).alias("key"),
-        F.lit(side).alias("side"),
-        *[F.xxhash64(v).alias(f"a{i}") for i, v in zip(ids, values)],
-        *[F.xxhash64(F.lit(i + 1), v).alias(f"b{i}") for i, v in zip(ids, values)],
-        *[F.when(v.isNull(), side).otherwise(0).alias(f"z{i}") for i, v in zip(ids, values)],
+    nulls = " | ".join(f"IF(v{i} IS NULL, {1 << i}L, 0L)" for i in ids)
+    is_source = side == _SOURCE
+    return values.selectExpr(
+        "key",
+        f"{1 if is_source else 0}L AS in_source",
+        f"{0 if is_source else 1}L AS in_target",
+        f"{nulls if is_source else '0L'} AS source_nulls",
+        f"{'0L' if is_source else nulls} AS target_nulls",
+        *[f"xxhash64(v{i}) AS a{i}" for i in ids],
+        *[f"xxhash64({i + 1}, v{i}) AS b{i}" for i in ids],
     )
 
 
-def _comparable(value: Column, dtype: T.DataType, as_text: bool) -> Column:
+def _comparable(df: DataFrame, other: DataFrame, name: str) -> Column:
     """The value itself, or its text where the two layers hold different types."""
+    value, dtype = col(name), df.schema[name].dataType
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(value)
-    if as_text and family(dtype) == "number":
-        return number_text(value, dtype)
-    return value.cast("string") if as_text else value
+    if dtype == other.schema[name].dataType:
+        return value
+    return number_text(value, dtype) if family(dtype) == "number" else value.cast("string")
 
 
 def reconcile_layers(

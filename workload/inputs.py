@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.names import qualified
 from strata.operators.layers import create_database
-from strata.session import scratch_dir, spread
+from strata.session import in_parallel, scratch_dir, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,10 +47,12 @@ def fresh_subject(spark: SparkSession, name: str, layers: tuple[str, ...]) -> st
 def source_db(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     """A database over given tables, which stay where they are."""
     database = fresh_db(spark, "source")
-    for name in names:
-        spark.catalog.createTable(
-            qualified(database, name), path=f"{sf_dir}/{name}.parquet", source="parquet"
-        )
+
+    def register(name: str) -> None:
+        path = f"{sf_dir}/{name}.parquet"
+        spark.catalog.createTable(qualified(database, name), path=path, source="parquet")
+
+    in_parallel(spark, register, names)
     return database
 
 
