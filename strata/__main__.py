@@ -1,4 +1,4 @@
-"""The jobs from the command line: ``spark-submit … strata/__main__.py sheets public_sheets``."""
+"""The jobs from the command line: ``python -m strata sheets public_sheets``."""
 
 from __future__ import annotations
 
@@ -72,6 +72,7 @@ def run_command(spark: SparkSession, arguments: list[str]) -> None:
 
 
 if __name__ == "__main__":
+    parse(sys.argv[1:])  # stops at a wrong command before Spark starts
     session = SparkSession.builder.appName("strata").getOrCreate()
     run_command(session, sys.argv[1:])
     session.stop()
