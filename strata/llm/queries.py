@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import boilerplate, bpe, jaccard, mixing, sketch, topk
+from strata.llm import boilerplate, bpe, jaccard, mixing, repeats, sketch, topk
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -15,6 +15,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    cut = repeats.cut_repeats(documents).select(
+        F.col("doc_id").alias("id"), "mark", F.sha2("kept", 256).alias("sha"), F.octet_length("kept").alias("left"),
+        (F.size("spans") / 2).cast("long").alias("spans"),
+    ).distinct()
+    text = F.coalesce("text", F.lit(""))
+    whole = documents.select(
+        "doc_id", F.xxhash64("text").alias("m"), F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text.cast("binary"), 256).alias("whole"),
+    )
+    both = whole.join(cut, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("m") == F.col("mark")), "left")
+    return both.select(
+        "doc_id", "n_bytes", F.coalesce(F.col("n_bytes") - F.col("left"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"),
+    )
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.copies_plan(read(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -117,6 +135,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repeats": (op1_repeats, None),
     "op3_source_mix": (op3_source_mix, OP3_SQL),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_topk": (op5_topk, OP5_SQL),
