@@ -8,18 +8,19 @@ the same text or another. Overlaps count; everything is judged on the input.
    anchors at the same place, and neighbouring windows mostly share theirs, so a text has
    about one anchor in 85 bytes. Only anchors whose gram occurs twice or more go on.
 2. Units. An anchor's unit is the run of windows it stands for, at most ``2 * LENGTH`` bytes.
-   Equal units of one gram become one, with a number of occurrences: copies cost nothing
-   more, however many there are.
-3. Suffix arrays. All units of a gram meet (equal windows always have the same gram).
-   Their suffixes are sorted by prefix doubling, with the lengths of common prefixes. A
-   stack scan over the array visits the tree of common-prefix intervals; an interval whose
-   suffixes are preceded by different bytes, or start their unit, is a maximal repeat group
-   with all its occurrences. Groups of at least ``LENGTH`` bytes cover exactly the windows
-   that occur again.
-   A gram with more than ``MOST`` different units is divided: its windows are split into
-   runs of ``STEP`` starts, which meet by the bytes that all windows of a run share. Equal
-   pieces become one again before they meet.
-4. The covered ranges return to the occurrences and are united by text.
+   Occurrences meet by gram as a few numbers each: a hash of the unit, and hashes of the
+   ``SIDE`` bytes before and after the gram. A unit that occurs twice is covered whole. Of the
+   others only those go on that share one side with another unit, as equal windows must.
+3. Suffix arrays. The different units of a gram that are left meet with their bytes. Their
+   suffixes are sorted by prefix doubling, with the lengths of common prefixes. A stack
+   scan over the array visits the tree of common-prefix intervals; an interval whose suffixes
+   are preceded by different bytes, or start their unit, is a maximal repeat group with all
+   its occurrences. Groups of at least ``LENGTH`` bytes cover exactly the windows that
+   occur again.
+   A gram with more than ``MOST`` occurrences is divided first: its windows are split into runs
+   of ``STEP`` starts, which meet by the bytes that all windows of a run share. Equal pieces
+   become one, with a number of occurrences, before they meet.
+4. The covered ranges are united by text.
 
 Maximal repeats longer than a unit appear as a chain of overlapping groups, one an anchor.
 
@@ -38,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.shingles import _BYTES, mix, powers
+from strata.llm.shingles import _BYTES, mix, powers, range_hashes
 from strata.llm.support import row_slices, settle, text_bytes, whole_groups
 
 LENGTH = 200
 GRAM = 32
 MOST = 2000
 STEP = 16
+SIDE = (LENGTH - GRAM) // 2
 _SLICE = 1 << 19
 _ROWS = 3000  # units in one suffix array, but for whole groups
 _LOW = np.uint64(0xFFFFF)
@@ -103,27 +105,80 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _unit_rows(with_bytes: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            places = [set(p) for p in batch.column("places").to_pylist()]
-            row, place, hashes, first, last = anchors(data, offsets)
-            pick = [i for i, (r, p) in enumerate(zip(row.tolist(), place.tolist(), strict=True)) if p in places[r]]
-            row, place, hashes, first, last = (x[pick] for x in (row, place, hashes, first, last))
-            starts, ends = offsets[row] + first, offsets[row] + last + LENGTH
-            units = [data[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-            digests = pa.array([hashlib.md5(u).digest() for u in units], pa.binary())
-            job = pa.array([h.tobytes() for h in hashes], pa.binary())
-            take = pa.array(row)
-            if with_bytes:
-                columns = [job, digests, pa.array(units, pa.binary()), pa.array((place - first).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["job", "unit", "bytes", "place"])
-            else:
-                columns = [job, digests, batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(first)]
-                yield pa.RecordBatch.from_arrays(columns, names=["job", "unit", "doc_id", "mark", "first"])
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The occurrences of repeated grams as numbers: hashes of the unit and of both sides of the gram, 0 for no such window."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        row, place, hashes, first, last = _picked(data, offsets, batch.column("cold"))
+        base, at = offsets[row], offsets[row] + place
+        unit = range_hashes(data, base + first, base + last + LENGTH)
+        left = np.where(first <= place - SIDE, range_hashes(data, np.maximum(at - SIDE, 0), at), np.uint64(0))
+        end = np.minimum(at + GRAM + SIDE, len(data))
+        right = np.where(last >= place - SIDE, range_hashes(data, np.minimum(at + GRAM, end), end), np.uint64(0))
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.view(np.int64)) for x in (hashes, unit, left, right)]
+            + [batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(first), pa.array(last)],
+            names=["job", "unit", "left", "right", "doc_id", "mark", "first", "last"],
+        )
 
-    return run
+
+def _picked(data: np.ndarray, offsets: np.ndarray, wanted: pa.Array) -> tuple[np.ndarray, ...]:
+    """The anchors whose places are wanted; a list of places for each text."""
+    found = anchors(data, offsets)
+    lists = wanted.fill_null([]) if wanted.null_count else wanted
+    sizes = np.diff(lists.offsets.to_numpy())
+    asked = np.repeat(np.arange(len(lists)), sizes) << 40 | lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    keep = np.isin(found[0].astype(np.int64) << 40 | found[1], asked)
+    return tuple(x[keep] for x in found)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is known without the bytes: ``covered`` rows of units that occur twice, and rows whose bytes are wanted.
+
+    ``single`` tells a unit that occurs once from one that only stands for its copies.
+    """
+    for table in whole_groups(batches, "job"):
+        table = table.combine_chunks()
+        job, unit, left, right = (table.column(c).to_numpy() for c in ("job", "unit", "left", "right"))
+        order = np.lexsort((unit, job))
+        new = np.concatenate([[True], (job[order][1:] != job[order][:-1]) | (unit[order][1:] != unit[order][:-1])])
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        times = np.bincount(number)[number]
+        one = order[new]  # a row for each different unit
+        wanted = np.zeros(len(order), bool)
+        for side in (left, right):
+            there = one[side[one] != 0]
+            rank = there[np.lexsort((side[there], job[there]))]
+            same = (job[rank][1:] == job[rank][:-1]) & (side[rank][1:] == side[rank][:-1])
+            wanted[rank[1:][same]] = True
+            wanted[rank[:-1][same]] = True
+        keep = np.flatnonzero((times > 1) | wanted)
+        # A group of units that all occur twice has nothing left to find.
+        open_jobs = np.unique(job[wanted & (times == 1)])
+        wanted &= np.isin(job, open_jobs)
+        rows = table.take(pa.array(keep)).select(["job", "doc_id", "mark", "first", "last"])
+        out = rows.append_column("covered", pa.array(times[keep] > 1)).append_column("wanted", pa.array(wanted[keep]))
+        yield from out.combine_chunks().to_batches()
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of wanted units."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        lists = batch.column("asked")
+        row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        asked = lists.flatten()
+        first, last = asked.field("first").to_numpy(), asked.field("last").to_numpy()
+        starts, ends = (offsets[row] + first).tolist(), (offsets[row] + last + LENGTH).tolist()
+        units = pa.array([data[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary())
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [asked.field("job"), batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(first),
+             asked.field("covered"), units],
+            names=["job", "doc_id", "mark", "first", "covered", "bytes"],
+        )
 
 
 class SuffixArray:
@@ -136,9 +191,7 @@ class SuffixArray:
 
     def __init__(self, units: list[bytes], least: int = LENGTH):
         sizes = np.array([len(u) for u in units])
-        width = 8
-        while width < sizes.max():
-            width *= 2
+        width = -(-int(sizes.max()) // 8) * 8
         rows = np.frombuffer(b"".join(u.ljust(width, b"\0") for u in units), np.uint8).reshape(len(units), width)
         padded = np.concatenate([rows, np.zeros((len(units), 8), np.uint8)], axis=1)
         wide = np.zeros(rows.shape, np.uint64)
@@ -149,7 +202,8 @@ class SuffixArray:
         while span < width:
             rank = self.ranks[span]
             later = np.full_like(rank, -1)
-            later[:, : width - span] = rank[:, span:]
+            if span < width:
+                later[:, : width - span] = rank[:, span:]
             self.ranks[2 * span] = np.unique(rank << 32 | (later + 1), return_inverse=True)[1].reshape(rows.shape).astype(np.int64)
             span *= 2
         unit, start = np.nonzero(np.arange(width) <= (sizes - least)[:, None])
@@ -236,110 +290,127 @@ def covered(units: list[bytes], times: list[int]) -> list[list[tuple[int, int]]]
     return [_united(f) for f in found]
 
 
-def _cover_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _array_groups(table: pa.Table) -> Iterator[tuple[int, int]]:
+    """Row ranges of whole jobs, large enough for one suffix array each."""
+    jobs = table.column("job").to_pylist()
+    start = 0
+    for i in range(1, len(jobs) + 1):
+        if i == len(jobs) or (jobs[i] != jobs[i - 1] and i - start >= _ROWS):
+            yield start, i
+            start = i
+
+
+def _cover_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Covered ranges of units that occur once, places within the text."""
     for table in whole_groups(batches, "job"):
-        jobs = table.column("job").to_pylist()
-        names = table.column("unit").to_pylist()
-        units = table.column("bytes").to_pylist()
-        times = table.column("times").to_pylist()
-        new = [i for i in range(len(jobs)) if not i or jobs[i] != jobs[i - 1]] + [len(jobs)]
-        sizes = np.diff(new)
-        ranges: list[list[tuple[int, int]]] = [[] for _ in jobs]
-        together: list[int] = []
-        for g, size in enumerate(sizes):
-            if size == 1:
-                i = new[g]
-                ranges[i] = covered([units[i]], [times[i]])[0]
-            else:
-                together += range(new[g], new[g + 1])
-            if together and (len(together) >= _ROWS or g == len(sizes) - 1):
-                part = covered([units[i] for i in together], [times[i] for i in together])
-                for i, r in zip(together, part, strict=True):
-                    ranges[i] = r
-                together = []
-        keep = [i for i, r in enumerate(ranges) if r]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([jobs[i] for i in keep], pa.binary()),
-                pa.array([names[i] for i in keep], pa.binary()),
-                pa.array([[x for pair in ranges[i] for x in pair] for i in keep], pa.list_(pa.int32())),
-            ],
-            names=["job", "unit", "ranges"],
-        )
+        for a, b in _array_groups(table):
+            part = table.slice(a, b - a)
+            known, first = part.column("covered").to_pylist(), part.column("first").to_pylist()
+            found = covered(part.column("bytes").to_pylist(), [1] * len(part))
+            rows = [i for i, r in enumerate(found) if r and not known[i]]
+            ranges = [[first[i] + x for pair in found[i] for x in pair] for i in rows]
+            some = part.select(["doc_id", "mark"]).take(pa.array(rows, pa.int64())).combine_chunks()
+            out = some.append_column("ranges", pa.array(ranges, pa.list_(pa.int64())))
+            yield from out.combine_chunks().to_batches()
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units of crowded grams as runs of ``STEP`` windows, keyed by the bytes all those windows share."""
     for batch in batches:
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
-        for job, unit, times, data, place in zip(*(batch.column(c).to_pylist() for c in ("job", "unit", "times", "bytes", "place")), strict=True):
-            windows = len(data) - LENGTH + 1
+        data, offsets = text_bytes(batch.column("text"))
+        out: tuple[list, ...] = ([], [], [], [], [])
+        picked = _picked(data, offsets, batch.column("hot"))
+        for row, place, gram, first, last in zip(*(x.tolist() for x in picked), strict=True):
+            text = data[offsets[row] : offsets[row + 1]]
             # Runs start at fixed places before the anchor, so that equal windows fall into equal runs.
-            lows = range(-(place // STEP + 1) * STEP, windows - place, STEP)
-            for low in lows:
-                a, b = max(low + place, 0), min(low + place + STEP, windows)
+            for low in range(place - ((place - first) // STEP + 1) * STEP, last + 1, STEP):
+                a, b = max(low, first), min(low + STEP, last + 1)
                 if a >= b:
                     continue
-                piece = data[a : b - 1 + LENGTH]
-                shared = data[max(low + place + STEP - 1, 0) : low + place + LENGTH]
-                key = hashlib.md5(job + low.to_bytes(4, "big", signed=True) + shared).digest()
-                for column, value in zip(out, (key, hashlib.md5(piece).digest(), piece, times, job, unit, a), strict=True):
+                piece = text[a : b - 1 + LENGTH].tobytes()
+                shared = text[low + STEP - 1 : low + LENGTH].tobytes()
+                key = hashlib.md5(gram.to_bytes(8, "big") + (low - place).to_bytes(4, "big", signed=True) + shared).digest()
+                for column, value in zip(out, (key, hashlib.md5(piece).digest(), piece, row, a), strict=True):
                     column.append(value)
-        kinds = (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int32())
-        names = ["job", "unit", "bytes", "times", "of_job", "of_unit", "at"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+        take = pa.array(out[3], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.array(c, pa.binary()) for c in out[:3]), batch.column("doc_id").take(take), batch.column("mark").take(take),
+             pa.array(out[4], pa.int64())],
+            names=["job", "unit", "bytes", "doc_id", "mark", "at"],
+        )
+
+
+def _cover_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in whole_groups(batches, "job"):
+        for a, b in _array_groups(table):
+            part = table.slice(a, b - a)
+            found = covered(part.column("bytes").to_pylist(), part.column("times").to_pylist())
+            rows = [i for i, r in enumerate(found) if r]
+            ranges = [[x for pair in found[i] for x in pair] for i in rows]
+            some = part.select(["job", "unit"]).take(pa.array(rows, pa.int64())).combine_chunks()
+            yield from some.append_column("ranges", pa.array(ranges, pa.list_(pa.int64()))).combine_chunks().to_batches()
 
 
-def _cover(units: DataFrame) -> DataFrame:
-    dealt = units.select("job", "unit", "bytes", "times").repartition("job").sortWithinPartitions("job")
-    return dealt.mapInArrow(_cover_rows, "job binary, unit binary, ranges array<int>")
+def _of_texts(texts: DataFrame, small: DataFrame) -> DataFrame:
+    """Texts with what is known of them (``id``, ``m``).
+
+    All joins with texts have the id as their only key and compare marks beside it, so Spark
+    deals the texts out once and reads that exchange again.
+    """
+    same = texts["mark"].bitwiseXOR(small["m"]) == 0
+    return texts.join(small, texts["doc_id"].eqNullSafe(small["id"]) & same)
 
 
 def repeated_ranges(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The texts that may hold repeats (``doc_id, mark, text``) and ``doc_id, mark, ranges``.
+    """All texts long enough (``doc_id, mark, text``), and ``doc_id, mark, ranges`` of those with a repeat.
 
     ``mark`` is a hash of the text; ``ranges`` holds start and end of covered byte ranges, which
-    may overlap. Texts without a repeat are in neither or only in the first.
+    may overlap.
     """
     rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter(F.octet_length("text") >= LENGTH)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(_anchor_rows, f"gram long, doc_id {id_type}, place long")
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(_anchor_rows, f"gram long, doc_id {kind}, place long")
+    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Places of one text: no more than the text has bytes.
-    places = found.join(often, "gram").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("place").alias("places"))
-    held = rows.join(places, rows["doc_id"].eqNullSafe(places["id"])).select("doc_id", F.xxhash64("text").alias("mark"), "text", "places")
-    held = settle(held)
-
-    units = held.mapInArrow(_unit_rows(True), "job binary, unit binary, bytes binary, place int")
-    units = settle(units.groupBy("job", "unit").agg(
-        F.count(F.lit(1)).alias("times"), F.first("bytes").alias("bytes"), F.first("place").alias("place")
-    ))
-    crowds = units.groupBy("job").agg(F.count(F.lit(1)).alias("units"), F.sum("times").alias("all")).filter("all > 1")
-    units = units.join(crowds, "job")
-    ranges = _cover(units.filter(F.col("units") <= MOST))
-
-    return held, _located(held, ranges.union(_crowded(units.filter(F.col("units") > MOST))))
-
-
-def _crowded(units: DataFrame) -> DataFrame:
-    """Covered ranges of units whose gram has too many of them for one suffix array."""
-    pieces = units.mapInArrow(_pieces, "job binary, unit binary, bytes binary, times long, of_job binary, of_unit binary, at int")
-    merged = pieces.groupBy("job", "unit").agg(F.sum("times").alias("times"), F.first("bytes").alias("bytes"))
-    back = pieces.select("job", "unit", "of_job", "of_unit", "at").join(_cover(merged), ["job", "unit"])
-    moved = F.transform("ranges", lambda x: x + F.col("at"))
-    return back.select(F.col("of_job").alias("job"), F.col("of_unit").alias("unit"), moved.alias("ranges")).groupBy("job", "unit").agg(
-        F.flatten(F.collect_set("ranges")).alias("ranges")
+    few = F.col("n") <= MOST
+    places = found.join(often, "gram").groupBy(F.col("doc_id").alias("id")).agg(
+        F.collect_set(F.when(few, F.col("place"))).alias("cold"), F.collect_set(F.when(~few, F.col("place"))).alias("hot")
     )
+    texts = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    places = settle(places)
+    held = texts.join(places, texts["doc_id"].eqNullSafe(places["id"])).drop("id")
 
-
-def _located(held: DataFrame, ranges: DataFrame) -> DataFrame:
-    id_type = held.schema["doc_id"].dataType.simpleString()
-    places = held.mapInArrow(_unit_rows(False), f"job binary, unit binary, doc_id {id_type}, mark long, first long")
-    moved = F.transform("ranges", lambda x: (x + F.col("first")).cast("long"))
-    located = places.join(ranges, ["job", "unit"]).select("doc_id", "mark", moved.alias("ranges"))
-    # As many ranges as the text has anchors, at most.
-    return located.groupBy("doc_id", "mark").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
+    numbers = held.filter(F.size("cold") > 0).select("doc_id", "mark", "text", "cold").mapInArrow(
+        _meetings, f"job long, unit long, left long, right long, doc_id {kind}, mark long, first long, last long"
+    )
+    met = numbers.repartition("job").sortWithinPartitions("job").mapInArrow(
+        _met, f"job long, doc_id {kind}, mark long, first long, last long, covered boolean, wanted boolean"
+    )
+    copies = met.filter("covered").select("doc_id", "mark", F.array(F.col("first"), F.col("last") + LENGTH).alias("ranges"))
+    asked = met.filter("wanted").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("m")).agg(
+        F.collect_set(F.struct("job", "first", "last", "covered")).alias("asked")
+    )
+    units = _of_texts(texts, asked)
+    units = units.select("doc_id", "mark", "text", "asked").mapInArrow(
+        _slices, f"job long, doc_id {kind}, mark long, first long, covered boolean, bytes binary"
+    )
+    compared = units.repartition("job").sortWithinPartitions("job").mapInArrow(
+        _cover_units, f"doc_id {kind}, mark long, ranges array<long>"
+    )
+    pieces = held.filter(F.size("hot") > 0).select("doc_id", "mark", "text", "hot").mapInArrow(
+        _pieces, f"job binary, unit binary, bytes binary, doc_id {kind}, mark long, at long"
+    )
+    merged = pieces.groupBy("job", "unit").agg(F.count(F.lit(1)).alias("times"), F.first("bytes").alias("bytes"))
+    divided = merged.repartition("job").sortWithinPartitions("job").mapInArrow(
+        _cover_pieces, "job binary, unit binary, ranges array<long>"
+    )
+    divided = pieces.select("job", "unit", "doc_id", "mark", "at").join(divided, ["job", "unit"]).select(
+        "doc_id", "mark", F.transform("ranges", lambda x: x + F.col("at")).alias("ranges")
+    )
+    # As many ranges as the text has anchors and pieces, at most.
+    ranges = copies.union(compared).union(divided).groupBy("doc_id", "mark").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
+    return texts, ranges
 
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,8 +437,7 @@ def cut_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     held, ranges = repeated_ranges(df, doc_id, text)
     id_type = held.schema["doc_id"].dataType.simpleString()
-    ranges = ranges.withColumnsRenamed({"doc_id": "id", "mark": "m"})
-    both = held.join(ranges, held["doc_id"].eqNullSafe(ranges["id"]) & (held["mark"] == ranges["m"]))
+    both = _of_texts(held, ranges.withColumnsRenamed({"doc_id": "id", "mark": "m"}))
     return both.select("doc_id", "mark", "text", "ranges").mapInArrow(
         _cut_rows, f"doc_id {id_type}, mark long, spans array<long>, kept binary"
     )
