@@ -17,9 +17,11 @@ the same text or another. Overlaps count; everything is judged on the input.
    are preceded by different bytes, or start their unit, is a maximal repeat group with all
    its occurrences. Groups of at least ``LENGTH`` bytes cover exactly the windows that
    occur again.
-   A gram with more than ``MOST`` occurrences is divided first: its windows are split into runs
-   of ``STEP`` starts, which meet by the bytes that all windows of a run share. Equal pieces
-   become one, with a number of occurrences, before they meet.
+   The units of a gram with more than ``CROWD`` of them are divided: their windows are split
+   into runs of ``STEP`` starts, which meet by the bytes that all windows of a run share.
+   Occurrences of a gram meet in one task, up to ``MOST`` of them (a few MB of numbers). A gram
+   beyond that is divided from the start, and equal pieces become one, with a number of
+   occurrences, before they meet.
 4. The covered ranges are united by text.
 
 Maximal repeats longer than a unit appear as a chain of overlapping groups, one an anchor.
@@ -44,7 +46,8 @@ from strata.llm.support import row_slices, settle, text_bytes, whole_groups
 
 LENGTH = 200
 GRAM = 32
-MOST = 2000
+MOST = 100_000
+CROWD = 4000
 STEP = 16
 SIDE = (LENGTH - GRAM) // 2
 _SLICE = 1 << 19
@@ -118,8 +121,8 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take = pa.array(row)
         yield pa.RecordBatch.from_arrays(
             [pa.array(x.view(np.int64)) for x in (hashes, unit, left, right)]
-            + [batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(first), pa.array(last)],
-            names=["job", "unit", "left", "right", "doc_id", "mark", "first", "last"],
+            + [batch.column("doc_id").take(take), batch.column("mark").take(take), *map(pa.array, (place, first, last))],
+            names=["job", "unit", "left", "right", "doc_id", "mark", "place", "first", "last"],
         )
 
 
@@ -133,7 +136,7 @@ def _picked(data: np.ndarray, offsets: np.ndarray, wanted: pa.Array) -> tuple[np
     return tuple(x[keep] for x in found)
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
     """What is known without the bytes: ``covered`` rows of units that occur twice, and rows whose bytes are wanted.
 
     ``single`` tells a unit that occurs once from one that only stands for its copies.
@@ -158,29 +161,51 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A group of units that all occur twice has nothing left to find.
         open_jobs = np.unique(job[wanted & (times == 1)])
         wanted &= np.isin(job, open_jobs)
-        rows = table.take(pa.array(keep)).select(["job", "doc_id", "mark", "first", "last"])
-        out = rows.append_column("covered", pa.array(times[keep] > 1)).append_column("wanted", pa.array(wanted[keep]))
+        _, which = np.unique(job, return_inverse=True)
+        crowded = np.bincount(which, wanted)[which] > crowd
+        out = table.take(pa.array(keep)).select(["job", "doc_id", "mark", "place", "first", "last"])
+        for name, flag in (("covered", times > 1), ("wanted", wanted), ("crowded", crowded)):
+            out = out.append_column(name, pa.array(flag[keep]))
         yield from out.combine_chunks().to_batches()
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of wanted units."""
+    """The bytes of wanted units, of crowded grams in pieces."""
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
-        lists = batch.column("asked")
-        row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-        asked = lists.flatten()
-        first, last = asked.field("first").to_numpy(), asked.field("last").to_numpy()
-        starts, ends = (offsets[row] + first).tolist(), (offsets[row] + last + LENGTH).tolist()
-        units = pa.array([data[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary())
-        take = pa.array(row)
+        out: tuple[list, ...] = ([], [], [], [], [])
+        for row, asked in enumerate(batch.column("asked").to_pylist()):
+            text = data[offsets[row] : offsets[row + 1]]
+            for unit in asked:
+                gram, first, last = unit["job"], unit["first"], unit["last"]
+                if unit["crowded"]:
+                    parts = [(key, a, piece) for key, a, piece in _runs(text, gram, unit["place"], first, last)]
+                else:
+                    parts = [(gram.to_bytes(8, "big", signed=True), first, text[first : last + LENGTH].tobytes())]
+                for key, at, piece in parts:
+                    for column, value in zip(out, (key, row, at, unit["covered"], piece), strict=True):
+                        column.append(value)
+        take = pa.array(out[1], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [asked.field("job"), batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(first),
-             asked.field("covered"), units],
+            [pa.array(out[0], pa.binary()), batch.column("doc_id").take(take), batch.column("mark").take(take),
+             pa.array(out[2], pa.int64()), pa.array(out[3], pa.bool_()), pa.array(out[4], pa.binary())],
             names=["job", "doc_id", "mark", "first", "covered", "bytes"],
         )
 
 
+def _runs(text: np.ndarray, gram: int, place: int, first: int, last: int) -> Iterator[tuple[bytes, int, bytes]]:
+    """A unit as runs of ``STEP`` windows: a key of the bytes that all windows of the run share, start, bytes.
+
+    Runs start at fixed places before the anchor, so equal windows fall into equal runs.
+    """
+    for low in range(place - ((place - first) // STEP + 1) * STEP, last + 1, STEP):
+        a, b = max(low, first), min(low + STEP, last + 1)
+        if a < b:
+            shared = text[low + STEP - 1 : low + LENGTH].tobytes()
+            where = gram.to_bytes(8, "big", signed=True) + (low - place).to_bytes(4, "big", signed=True)
+            yield hashlib.md5(where + shared).digest(), a, text[a : b - 1 + LENGTH].tobytes()
+
+
 class SuffixArray:
     """Suffixes of several units, at least ``least`` bytes long, in order, with their common prefixes.
 
@@ -280,14 +305,18 @@ def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def covered(units: list[bytes], times: list[int]) -> list[list[tuple[int, int]]]:
     """For each unit, the united ranges that maximal repeat groups cover; a unit that occurs twice is covered whole."""
-    found: list[list[tuple[int, int]]] = [[(0, len(u))] if n > 1 else [] for u, n in zip(units, times, strict=True)]
-    if len(units) > 1:
-        array = SuffixArray(units)
+    number: dict[bytes, int] = {}
+    which = [number.setdefault(u, len(number)) for u in units]
+    total = np.bincount(which, times, len(number))
+    found: list[list[tuple[int, int]]] = [[(0, len(u))] if total[i] > 1 else [] for u, i in number.items()]
+    if len(number) > 1:
+        array = SuffixArray(list(number))
         for length, _, _, own in array.maximal():
             for place in own:
                 start = int(array.start[place])
                 found[array.unit[place]].append((start, start + length))
-    return [_united(f) for f in found]
+    found = [_united(f) for f in found]
+    return [found[i] for i in which]
 
 
 def _array_groups(table: pa.Table) -> Iterator[tuple[int, int]]:
@@ -322,14 +351,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picked = _picked(data, offsets, batch.column("hot"))
         for row, place, gram, first, last in zip(*(x.tolist() for x in picked), strict=True):
             text = data[offsets[row] : offsets[row + 1]]
-            # Runs start at fixed places before the anchor, so that equal windows fall into equal runs.
-            for low in range(place - ((place - first) // STEP + 1) * STEP, last + 1, STEP):
-                a, b = max(low, first), min(low + STEP, last + 1)
-                if a >= b:
-                    continue
-                piece = text[a : b - 1 + LENGTH].tobytes()
-                shared = text[low + STEP - 1 : low + LENGTH].tobytes()
-                key = hashlib.md5(gram.to_bytes(8, "big") + (low - place).to_bytes(4, "big", signed=True) + shared).digest()
+            for key, a, piece in _runs(text, int(np.uint64(gram).view(np.int64)), place, first, last):
                 for column, value in zip(out, (key, hashlib.md5(piece).digest(), piece, row, a), strict=True):
                     column.append(value)
         take = pa.array(out[3], pa.int64())
@@ -382,18 +404,21 @@ def repeated_ranges(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     held = texts.join(places, texts["doc_id"].eqNullSafe(places["id"])).drop("id")
 
     numbers = held.filter(F.size("cold") > 0).select("doc_id", "mark", "text", "cold").mapInArrow(
-        _meetings, f"job long, unit long, left long, right long, doc_id {kind}, mark long, first long, last long"
+        _meetings, f"job long, unit long, left long, right long, doc_id {kind}, mark long, place long, first long, last long"
     )
+    crowd = CROWD
     met = numbers.repartition("job").sortWithinPartitions("job").mapInArrow(
-        _met, f"job long, doc_id {kind}, mark long, first long, last long, covered boolean, wanted boolean"
+        lambda batches: _met(batches, crowd),
+        f"job long, doc_id {kind}, mark long, place long, first long, last long, "
+        "covered boolean, wanted boolean, crowded boolean"
     )
     copies = met.filter("covered").select("doc_id", "mark", F.array(F.col("first"), F.col("last") + LENGTH).alias("ranges"))
     asked = met.filter("wanted").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("m")).agg(
-        F.collect_set(F.struct("job", "first", "last", "covered")).alias("asked")
+        F.collect_set(F.struct("job", "place", "first", "last", "covered", "crowded")).alias("asked")
     )
     units = _of_texts(texts, asked)
     units = units.select("doc_id", "mark", "text", "asked").mapInArrow(
-        _slices, f"job long, doc_id {kind}, mark long, first long, covered boolean, bytes binary"
+        _slices, f"job binary, doc_id {kind}, mark long, first long, covered boolean, bytes binary"
     )
     compared = units.repartition("job").sortWithinPartitions("job").mapInArrow(
         _cover_units, f"doc_id {kind}, mark long, ranges array<long>"
