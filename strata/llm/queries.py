@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import boilerplate, bpe, jaccard, mixing, repeats, sketch, topk
+from strata.llm import boilerplate, bpe, jaccard, mixing, pii, repeats, sketch, topk
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -33,6 +33,22 @@ def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read(spark, sf_dir, "documents"))
+    added = lambda kind: F.filter("added", lambda s: s["kind"] == kind)
+    texts = lambda spans, kind: F.transform(spans, lambda s: pii.span_text(F.lit(kind), s["start"], s["end"]))
+    base = F.concat(*[texts(F.col(k), k) for k in pii.KINDS])
+    all_of = lambda kind: F.array_sort(
+        F.concat(*[F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for x in (F.col(kind), added(kind))])
+    )
+    return found.select(
+        "doc_id", *[F.size(all_of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join(F.concat(*[texts(all_of(k), k) for k in pii.KINDS]), ",").alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.copies_plan(read(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -136,6 +152,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_repeats": (op1_repeats, None),
+    "op2_pii": (op2_pii, None),
     "op3_source_mix": (op3_source_mix, OP3_SQL),
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_topk": (op5_topk, OP5_SQL),
