@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import boilerplate, bpe, jaccard, mixing, pii, repeats, sketch, topk
+from strata.llm import boilerplate, bpe, jaccard, langid, licenses, mixing, pii, repeats, sketch, topk
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -132,6 +132,21 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_similar(read(spark, sf_dir, "documents"))
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out"))
+    model = langid.fit(documents.filter(~F.col("held_out")))
+    return langid.identify(documents, model, keep=("doc_id", "held_out"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_licenses"),
+        F.array_join(F.array_sort(F.array_distinct(F.col("notices.family"))), ",").alias("families"),
+        F.array_join(F.transform("notices", lambda n: F.concat_ws(":", n["family"], n["line"].cast("string"))), ",").alias("spans"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     coded = bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=("doc_id",))
@@ -157,6 +172,8 @@ QUERIES = {
     "op4_line_dedup": (op4_line_dedup, OP4_SQL),
     "op5_topk": (op5_topk, OP5_SQL),
     "op6_jaccard_join": (op6_jaccard_join, None),
+    "op7_langid": (op7_langid, None),
+    "op8_licenses": (op8_licenses, None),
     "op9_bpe": (op9_bpe, None),
     "op10_fingerprints": (op10_fingerprints, None),
 }
