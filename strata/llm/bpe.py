@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from strata.llm.support import binary_array, row_slices, text_bytes
 
 LONG = 128
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 _SLICE = 1 << 20
 _CELLS = 1 << 18
 _NONE = np.int64(1) << 62
@@ -261,16 +261,18 @@ def _share(df: DataFrame, vocabulary: str):
 
 
 def encode(
-    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep: tuple[str, ...] | None = None
+    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep: tuple[str, ...] | None = None, decoded: bool = False
 ) -> DataFrame:
     """Add ``tokens``: the ids of each text as little-endian unsigned 32-bit integers.
 
     ``vocabulary`` is a ``.tiktoken`` file that the driver reads; its ranks, a few
     hundred kilobytes whatever the data, are broadcast. ``keep`` names the columns to
-    return beside it, all by default.
+    return beside it, all by default. With ``decoded`` the ids are decoded in the same pass
+    and their bytes added too, as :func:`decode` would.
     """
     name, shared = _share(df, vocabulary)
-    kept = [c for c in (df.columns if keep is None else keep) if c != "tokens"]
+    new = ["tokens", "decoded"] if decoded else ["tokens"]
+    kept = [c for c in (df.columns if keep is None else keep) if c not in new]
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +282,12 @@ def encode(
             for a, b in row_slices(offsets, _SLICE):
                 part = batch.slice(a, b - a)
                 ids, ends = codec.encode([t or "" for t in part.column("__text").to_pylist()])
-                packed = binary_array(ids.astype("<u4").view(np.uint8), ends * 4)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in kept), packed], names=[*kept, "tokens"]
-                )
+                out = [binary_array(ids.astype("<u4").view(np.uint8), ends * 4)]
+                if decoded:
+                    out.append(binary_array(*codec.decode(ids, ends)))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *out], names=[*kept, *new])
 
-    schema = source.select(*[f"`{c}`" for c in kept], F.lit(b"").alias("tokens")).schema
+    schema = source.select(*[f"`{c}`" for c in kept], *[F.lit(b"").alias(c) for c in new]).schema
     return source.mapInArrow(run, schema)
 
 
@@ -304,7 +306,7 @@ def decode(
             for a, b in row_slices(offsets, _SLICE):
                 part = batch.slice(a, b - a)
                 raw, ends = text_bytes(part.column("__tokens"))
-                data, bounds = codec.decode(np.ascontiguousarray(raw).view("<u4").astype(np.int64), ends // 4)
+                data, bounds = codec.decode(np.ascontiguousarray(raw).view("<u4"), ends // 4)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in kept), binary_array(data, bounds)], names=[*kept, "decoded"]
                 )

@@ -149,9 +149,8 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    coded = bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=("doc_id",))
-    back = bpe.decode(coded, path, public_tokenizers.PATTERN)
-    return back.select(
+    coded = bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=("doc_id",), decoded=True)
+    return coded.select(
         "doc_id", (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col("tokens"), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
