@@ -15,7 +15,7 @@ from strata.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # A document whose language is less likely than this is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
