@@ -29,7 +29,6 @@ def parse(arguments: list[str]) -> argparse.Namespace:
         command = commands.add_parser(job, help=f"rebuild the {job} layers")
         command.add_argument("source", help=source)
         command.add_argument("--subject", help="name of the subject in the layer databases")
-        command.add_argument("--debug-limit", type=int, help="rows kept of each table, for trials")
         if job != "tickets":
             command.add_argument("--threads", type=int, default=WRITERS, help="tables at once")
     profile = commands.add_parser("profile", help="rows, columns and bytes of the tables of a layer")

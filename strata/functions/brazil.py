@@ -52,6 +52,22 @@ def plain_number(cell: Column) -> Column:
     return F.when(ends_in_digit(cell), number)
 
 
+def number_form(cell: Column) -> Column:
+    """``br`` or ``plain`` if the number has only that form, ``both`` for ``1.234``, ``any`` for whole numbers.
+
+    NULL when the cell is no number. The cell has no blanks around it.
+    """
+    br, plain = cell.rlike(BR_NUMBER), cell.rlike(PLAIN_NUMBER)
+    form = F.when(cell.rlike(r"^-?\d+$"), "any").when(br & plain, "both").when(br, "br").when(plain, "plain")
+    return F.when(ends_in_digit(cell), form)
+
+
+def number_in_form(cell: Column, form: str, dtype: T.DecimalType = NUMBER) -> Column:
+    """Number of a cell that is known to be blank or a number of this form."""
+    text = cell if form == "plain" else F.translate(cell, ",.R$" + _SPACES, ".")
+    return text.try_cast(dtype)
+
+
 def cell_number(cell: Column, dtype: T.DecimalType = NUMBER) -> Column:
     """Number of a cell that has no blanks around it."""
     return plain_number(cell).try_cast(dtype)

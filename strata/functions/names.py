@@ -72,7 +72,3 @@ def family(dtype: T.DataType) -> str:
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return "date"
     return "other"
-
-
-def duplicates(df: DataFrame) -> list[str]:
-    return sorted({n for n in df.columns if df.columns.count(n) > 1})

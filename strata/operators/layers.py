@@ -15,16 +15,13 @@ from strata.session import WRITERS, in_parallel
 
 log = logging.getLogger(__name__)
 
-# A table with this mark is being computed; it takes the final name when done.
-STAGED_MARK = "__new_"
-
 # The columns of the run log.
 RUN_AT, RUN_SOURCE, RUN_TARGET = "execucao_at", "schema_origem", "schema_destino"
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> str:
     """Create the database of a layer unless it exists."""
-    where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    where = "" if location is None else f" LOCATION '{_quoted(location)}'"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {q(database)}{where}")
     return database
 
@@ -35,42 +32,68 @@ def list_tables(spark: SparkSession, database: str, exclude: tuple[str, ...] | l
     return sorted(
         t.name
         for t in spark.catalog.listTables(database)
-        if t.tableType not in ("VIEW", "TEMPORARY")
-        and t.name.lower() not in hidden
-        and STAGED_MARK not in t.name.lower()
+        if t.tableType not in ("VIEW", "TEMPORARY") and t.name.lower() not in hidden
     )
 
 
 def write_table(df: DataFrame, database: str, table: str) -> str:
     """Replace a table by the rows of ``df``.
 
-    The rows go to a staged table first, so the old table stays readable until
-    the new one is complete, and ``df`` may read the table it replaces. Every
-    attempt stages under a new name: what a killed driver leaves behind cannot
-    block the next run.
+    The rows go to a fresh folder of the database; then the table is pointed to it by one
+    change of metadata, and the old folder is removed. The old table stays readable until
+    then, ``df`` may read the table it replaces, and a killed driver leaves either the old
+    or the new rows under the name, and at most a folder that no table points to. Only when
+    the columns change, which a catalog table cannot do in place, is the table dropped and
+    created anew; its rows stay in their folders in between.
     """
     spark = df.sparkSession
-    staged = qualified(database, table + STAGED_MARK + uuid.uuid4().hex[:8])
     final = qualified(database, table)
-    df.write.mode("overwrite").format("parquet").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {final}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    path = f"{root}/{table.lower()}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    columns = [(f.name, f.dataType) for f in df.schema.fields]
+    old = table_location(spark, database, table)
+    if old is not None and [(f.name, f.dataType) for f in spark.table(final).schema.fields] == columns:
+        spark.sql(f"ALTER TABLE {final} SET LOCATION '{_quoted(path)}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {final}")
+        spark.catalog.createTable(final, path=path, source="parquet", schema=df.schema)
+    spark.catalog.refreshTable(final)
+    if old is not None and old.rstrip("/").startswith(f"{root}/"):
+        remove_folder(spark, old)
     return table
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def table_location(spark: SparkSession, database: str, table: str) -> str | None:
+    """The folder of a table; None if there is no such table."""
+    name = qualified(database, table)
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with everything in it, wherever it is stored."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def transform_layer(
     spark: SparkSession,
     source_db: str,
     target_db: str,
     transform: Callable[[DataFrame], DataFrame],
     exclude: tuple[str, ...] | list[str] = (),
-    debug_limit: int | None = None,
     threads: int = WRITERS,
 ) -> list[str]:
     """Rebuild every table of one database in another through ``transform``.
 
-    Returns the names of the tables written. ``debug_limit`` keeps that many
-    rows of each table; it is meant for trying a job out and is off by default.
+    Returns the names of the tables written.
     """
     if source_db.lower() == target_db.lower():
         raise ValueError(f"source and target are both {source_db!r}")
@@ -78,8 +101,6 @@ def transform_layer(
 
     def rebuild(table: str) -> str:
         df = transform(spark.table(qualified(source_db, table)))
-        if debug_limit is not None:
-            df = df.limit(debug_limit)
         write_table(df, target_db, table)
         log.info("%s.%s written to %s", source_db, table, target_db)
         return table
@@ -92,11 +113,10 @@ def copy_layer(
     source_db: str,
     target_db: str,
     exclude: tuple[str, ...] | list[str] = (),
-    debug_limit: int | None = None,
     threads: int = WRITERS,
 ) -> list[str]:
     """Copy every table of one database to another, unchanged."""
-    return transform_layer(spark, source_db, target_db, lambda df: df, exclude, debug_limit, threads)
+    return transform_layer(spark, source_db, target_db, lambda df: df, exclude, threads)
 
 
 def run_log_table(subject: str) -> str:

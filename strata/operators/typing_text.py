@@ -14,14 +14,10 @@ from pyspark.sql import types as T
 from strata.functions import brazil
 from strata.functions.names import check_case_collisions, col, split_technical
 
-# Every cell becomes one number: its kind, or for a number its digit counts as
-# ``integer digits * DIGITS + fraction digits``.
-_DIGITS = 100_000
-_BLANK, _DATE, _TEXT = -1, -2, -3
-
 REPORT_SCHEMA = (
     "column string, inferred_type string, n_rows bigint, n_blank bigint, "
-    "n_numeric bigint, n_date bigint, integer_digits bigint, fraction_digits bigint"
+    "n_numeric bigint, n_date bigint, integer_digits bigint, fraction_digits bigint, "
+    "n_br_only bigint, n_plain_only bigint, n_ambiguous bigint"
 )
 
 
@@ -38,6 +34,11 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     numbers (dates); cells without a value are ignored. A table without rows
     gives an empty report.
 
+    A column has one number form. ``n_br_only`` cells have the Brazilian form alone
+    (``1,5``), ``n_plain_only`` cells the plain form alone (``0.75``), ``n_ambiguous``
+    cells both (``1.234``). The form is plain when a cell demands it, else Brazilian;
+    cells that demand both make the column text. The digit counts follow the form.
+
     The cells are unpivoted, so the plan and its generated code stay the same
     size however wide the table is, and the counts of all tasks meet by column
     instead of in one task.
@@ -49,38 +50,44 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     cells = df.unpivot([], [col(n) for n in names], "column", "value")
     # Each step uses the one before several times; as steps they run once.
     cells = cells.select("column", brazil.trimmed(F.col("value")).alias("cell"))
-    cells = cells.select("column", "cell", brazil.plain_number(F.col("cell")).alias("number"))
-    kinds = cells.select("column", _kind(F.col("cell"), F.col("number")).alias("kind"))
-    kind = F.col("kind")
-    digits = F.when(kind >= 0, kind)
+    cells = cells.select("column", "cell", brazil.number_form(F.col("cell")).alias("form"))
+    cell, form = F.col("cell"), F.col("form")
+    digits = F.length(F.translate(cell, "-R$,. \t\r\n\x0b\f\xa0", ""))
+    after = lambda mark: F.when(F.instr(cell, mark) > 0, F.length(cell) - F.instr(cell, mark)).otherwise(0)
+    kinds = cells.select(
+        "column", "form", digits.alias("digits"), after(",").alias("br"), after(".").alias("plain"),
+        F.when(form.isNull(), brazil.is_blank(cell)).otherwise(False).alias("blank"),
+        F.when(form.isNull(), brazil.cell_date(cell).isNotNull()).otherwise(False).alias("date"),
+    )
+    number = form.isNotNull()
+    most = lambda n: F.coalesce(F.max(F.when(number, n)), F.lit(0)).cast("bigint")
     counts = kinds.groupBy("column").agg(
         F.count("*").alias("n_rows"),
-        F.count_if(kind == _BLANK).alias("n_blank"),
-        F.count(digits).alias("n_numeric"),
-        F.count_if(kind == _DATE).alias("n_date"),
-        F.coalesce(F.max(F.floor(digits / _DIGITS)), F.lit(0)).alias("integer_digits"),
-        F.coalesce(F.max(digits % _DIGITS), F.lit(0)).alias("fraction_digits"),
+        F.count_if(F.col("blank")).alias("n_blank"),
+        F.count_if(number).alias("n_numeric"),
+        F.count_if(F.col("date")).alias("n_date"),
+        most(F.col("digits") - F.col("br")).alias("br_whole"),
+        most(F.col("br")).alias("br_fraction"),
+        most(F.col("digits") - F.col("plain")).alias("plain_whole"),
+        most(F.col("plain")).alias("plain_fraction"),
+        F.count_if(form == "br").alias("n_br_only"),
+        F.count_if(form == "plain").alias("n_plain_only"),
+        F.count_if(form == "both").alias("n_ambiguous"),
     )
     values = F.col("n_rows") - F.col("n_blank")
+    one_form = (F.col("n_br_only") == 0) | (F.col("n_plain_only") == 0)
     inferred = (
         F.when(values == 0, "text")
-        .when(F.col("n_numeric") == values, "numeric")
+        .when((F.col("n_numeric") == values) & one_form, "numeric")
         .when(F.col("n_date") == values, "date")
         .otherwise("text")
     )
-    return counts.select("column", inferred.alias("inferred_type"), *counts.columns[1:])
-
-
-def _kind(cell: Column, number: Column) -> Column:
-    digits = F.ltrim(number, F.lit("-"))
-    point = F.instr(digits, ".")
-    whole = F.when(point > 0, point - 1).otherwise(F.length(digits))
-    fraction = F.when(point > 0, F.length(digits) - point).otherwise(F.lit(0))
-    return (
-        F.when(number.isNotNull(), whole.cast("bigint") * _DIGITS + fraction)
-        .when(brazil.is_blank(cell), _BLANK)
-        .when(brazil.cell_date(cell).isNotNull(), _DATE)
-        .otherwise(_TEXT)
+    plain = (F.col("n_plain_only") > 0) & (F.col("n_br_only") == 0)
+    return counts.select(
+        "column", inferred.alias("inferred_type"), "n_rows", "n_blank", "n_numeric", "n_date",
+        F.when(plain, F.col("plain_whole")).otherwise(F.col("br_whole")).alias("integer_digits"),
+        F.when(plain, F.col("plain_fraction")).otherwise(F.col("br_fraction")).alias("fraction_digits"),
+        "n_br_only", "n_plain_only", "n_ambiguous",
     )
 
 
@@ -105,44 +112,57 @@ def apply_types(
 
     ``force_numeric`` columns become numeric whatever they hold; their values
     that are not numbers become NULL. ``keep_text`` columns stay as they are,
-    codes with leading zeros for example. A numeric column too wide for any
-    decimal stays text, so that no digit is lost.
+    codes with leading zeros for example. Both have to name text columns of the
+    table. A number too long for any decimal is an error that names its column.
     """
     forced, kept = set(force_numeric or []), set(keep_text or [])
     if forced & kept:
         raise ValueError(f"both forced numeric and kept as text: {sorted(forced & kept)}")
+    if absent := (forced | kept) - set(df.columns):
+        raise ValueError(f"no such columns: {sorted(absent)}")
     found = {r["column"]: r for r in report.collect()}
     technical, business = split_technical(df.columns)
-    targets = {
-        n: _target(found.get(n), n in forced)
-        for n in text_columns(df)
-        if n not in kept
-    }
+    targets = {n: _target(n, found.get(n), n in forced) for n in text_columns(df) if n not in kept}
     cast = {n: t for n, t in targets.items() if t is not None}
     # Parsing looks at a cell several times; as a step of its own the trim runs once.
     cells = df.select(
         *[brazil.trimmed(col(n)).alias(n) if n in cast else col(n) for n in technical + business]
     )
     return cells.select(
-        *[_parsed(col(n), cast[n]).alias(n) if n in cast else col(n) for n in technical + business]
+        *[_parsed(col(n), cast[n], found.get(n), n in forced).alias(n) if n in cast else col(n) for n in technical + business]
     )
 
 
-def _target(entry, forced: bool) -> T.DataType | None:
+def _target(name: str, entry, forced: bool) -> T.DataType | None:
     """Type to convert a column to; None leaves it as it is."""
     kind = "numeric" if forced else entry["inferred_type"] if entry else "text"
     if kind == "date":
         return T.DateType()
     if kind == "text":
         return None
-    dtype = number_type(entry["integer_digits"], entry["fraction_digits"]) if entry else None
-    return dtype or (brazil.NUMBER if forced else None)
-
-
-def _parsed(cell: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.DecimalType):
-        return brazil.cell_number(cell, dtype)
-    return brazil.cell_date(cell)
+    if entry is None:
+        return brazil.NUMBER
+    dtype = number_type(entry["integer_digits"], entry["fraction_digits"])
+    if dtype is None:
+        raise ValueError(
+            f"column {name!r} has numbers of {entry['integer_digits']} digits before and "
+            f"{entry['fraction_digits']} after the decimal mark, more than a decimal holds; name it in keep_text"
+        )
+    return dtype
+
+
+def _form(entry) -> str:
+    return "plain" if entry and entry["n_plain_only"] and not entry["n_br_only"] else "br"
+
+
+def _parsed(cell: Column, dtype: T.DataType, entry, forced: bool) -> Column:
+    if not isinstance(dtype, T.DecimalType):
+        return brazil.cell_date(cell)
+    number = brazil.number_in_form(cell, _form(entry), dtype)
+    if not forced:
+        return number  # every cell has been seen to be a number or blank
+    pattern = brazil.PLAIN_NUMBER + r"|^-?\d+$" if _form(entry) == "plain" else brazil.BR_NUMBER
+    return F.when(cell.rlike(pattern), number)
 
 
 def type_columns(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from strata.functions.brazil import number_text
 from strata.functions.names import check_case_collisions, col, family, q, qualified
+from strata.operators.layers import list_tables
 
 log = logging.getLogger(__name__)
 
@@ -38,7 +39,7 @@ def discover_codes(spark: SparkSession, database: str, patterns: list[str]) -> l
         re.compile(re.escape(p).replace("%", ".*").replace("_", "."), re.IGNORECASE | re.DOTALL)
         for p in patterns
     ]
-    names = [t.name for t in spark.catalog.listTables(database) if t.tableType != "VIEW"]
+    names = list_tables(spark, database)
     codes = [re.search(CODE_PATTERN, n) for n in names if any(s.fullmatch(n) for s in shapes)]
     return sorted({code.group().lower() for code in codes if code})
 
@@ -74,9 +75,11 @@ def union_relations(
     """Union all relations by column name, with the relation name in ``source_column``.
 
     A column that a relation lacks is NULL there. Columns are ordered by their
-    smallest position in any relation, then by name. Types are widened without
-    loss; types that have no common form become text. No relation at all gives
-    an empty result that has the source column only.
+    smallest position in any relation, then by name. Types are widened (whole
+    numbers of 64 bits and floating point become floating point); types that have no
+    common form become text. Numbers that become text get a decimal comma, so that
+    typing reads ``1,234`` back as it was, not as a thousand. No relation at all
+    gives an empty result that has the source column only.
     """
     if not relations:
         return spark.createDataFrame([], T.StructType([T.StructField(source_column, T.StringType())]))
@@ -116,11 +119,12 @@ def common_type(types: list[T.DataType]) -> T.DataType:
         return max(distinct, key=_INTEGERS.index)
     if all(isinstance(t, T.DecimalType) or t in _INTEGERS for t in distinct):
         return _common_decimal(distinct) or T.StringType()
-    exact_in_double = (T.FloatType, T.DoubleType, T.ByteType, T.ShortType, T.IntegerType)
-    if all(isinstance(t, exact_in_double) for t in distinct):
+    if all(isinstance(t, (T.FloatType, T.DoubleType)) or t in _INTEGERS for t in distinct):
         return T.DoubleType()
     if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in distinct):
         return T.TimestampNTZType()
+    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in distinct):
+        return T.TimestampType()
     return T.StringType()
 
 
@@ -142,7 +146,7 @@ def _aligned(df: DataFrame, target: T.StructField) -> Column:
         return value
     if isinstance(target.dataType, T.StringType):
         if family(dtype) == "number":
-            return number_text(value, dtype).alias(target.name)
+            return F.translate(number_text(value, dtype), ".", ",").alias(target.name)
         if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
             return F.to_json(value).alias(target.name)
     return value.cast(target.dataType).alias(target.name)

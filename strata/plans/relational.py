@@ -28,11 +28,10 @@ def run_finance(
     raw_db: str,
     subject: str = "finance",
     run_at: datetime | None = None,
-    debug_limit: int | None = None,
     threads: int = WRITERS,
 ) -> list[str]:
     """Rebuild every finance table in the mart layer, and log the run."""
-    return _run(spark, raw_db, subject, finance_mart, run_at, debug_limit, threads)
+    return _run(spark, raw_db, subject, finance_mart, run_at, threads)
 
 
 def run_crm(
@@ -40,15 +39,14 @@ def run_crm(
     raw_db: str,
     subject: str = "crm",
     run_at: datetime | None = None,
-    debug_limit: int | None = None,
     threads: int = WRITERS,
 ) -> list[str]:
     """Rebuild every customer relations table in the mart layer, and log the run."""
-    return _run(spark, raw_db, subject, crm_mart, run_at, debug_limit, threads)
+    return _run(spark, raw_db, subject, crm_mart, run_at, threads)
 
 
-def _run(spark, raw_db, subject, transform, run_at, debug_limit, threads) -> list[str]:
+def _run(spark, raw_db, subject, transform, run_at, threads) -> list[str]:
     target, log = layer_db("mart", subject), [run_log_table(subject)]
-    tables = transform_layer(spark, raw_db, target, transform, log, debug_limit, threads)
+    tables = transform_layer(spark, raw_db, target, transform, log, threads)
     run_log(spark, raw_db, target, subject, run_at)
     return tables

@@ -96,13 +96,11 @@ def run(
     kinds: list[Kind] | None = None,
     subject: str = SUBJECT,
     strict: bool = True,
-    debug_limit: int | None = None,
     threads: int = WRITERS,
 ) -> dict[str, DataFrame]:
     """Rebuild staging, intermediate and mart of all kinds; returns the mart tables.
 
     Without ``codes``, all codes found in the raw database are taken.
-    ``debug_limit`` keeps that many rows of each raw table.
     """
     kinds = KINDS if kinds is None else kinds
     raw_db = raw_db or layer_db("raw", subject)
@@ -114,8 +112,6 @@ def run(
 
     def rebuild(kind: Kind) -> DataFrame:
         relations = find_relations(spark, raw_db, codes, kind.suffix)
-        if debug_limit is not None:
-            relations = [(name, df.limit(debug_limit)) for name, df in relations]
         write_table(staging(spark, relations, kind.force_numeric), stg_db, kind.table)
         stg = spark.table(qualified(stg_db, kind.table))
         write_table(intermediate(stg, kind.merges, strict), int_db, kind.table)

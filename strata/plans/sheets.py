@@ -20,13 +20,12 @@ def run(
     source_db: str,
     subject: str = SUBJECT,
     run_at: datetime | None = None,
-    debug_limit: int | None = None,
     threads: int = WRITERS,
 ) -> list[str]:
     """Rebuild the raw, staging and mart layers, each with its run log."""
     raw_db, stg_db, mart_db = [layer_db(layer, subject) for layer in ("raw", "stg", "mart")]
     log = [run_log_table(subject)]
-    copy_layer(spark, source_db, raw_db, log, debug_limit, threads)
+    copy_layer(spark, source_db, raw_db, log, threads)
     run_log(spark, source_db, raw_db, subject, run_at)
     transform_layer(spark, raw_db, stg_db, type_columns, log, threads=threads)
     run_log(spark, raw_db, stg_db, subject, run_at)

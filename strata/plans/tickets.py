@@ -62,12 +62,9 @@ def run(
     raw_table: str,
     subject: str = "tickets",
     table: str = TABLE,
-    debug_limit: int | None = None,
 ) -> DataFrame:
     """Rebuild the staging and mart tables from a raw table given as ``database.table``."""
     raw = spark.table(raw_table)
-    if debug_limit is not None:
-        raw = raw.limit(debug_limit)
     stg_db = create_database(spark, layer_db("stg", subject))
     mart_db = create_database(spark, layer_db("mart", subject))
     write_table(staging(raw), stg_db, table)

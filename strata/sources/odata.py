@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,7 @@ from strata.functions.names import check_case_collisions
 
 # Fixed value: the member of a page that holds its entities.
 ENTITIES = "value"
+CORRUPT = "_unreadable_page"
 
 
 def read_pages(
@@ -17,6 +18,7 @@ def read_pages(
     path: str | list[str],
     schema: str | T.StructType | None = None,
     multiline: bool = False,
+    lenient: bool = False,
 ) -> DataFrame:
     """Read the entities of all pages, one row each.
 
@@ -24,16 +26,38 @@ def read_pages(
     objects and lists as JSON text. Without a schema, a first pass collects the
     field names and every field is text. ``multiline`` is for pages spread over
     several lines, one page per file.
+
+    A page that is no JSON, that has no list of entities, or that holds a value which does not
+    fit its type is an error when it is read. ``lenient`` leaves such pages out instead;
+    :func:`rejected_pages` counts them.
     """
     fields = _as_struct(schema) if schema is not None else _discover(spark, path, multiline)
     check_case_collisions(fields.names)
     pages = _read(spark, path, T.ArrayType(fields), multiline)
-    return pages.select(F.inline(ENTITIES))
+    if lenient:
+        return pages.filter(~_bad()).select(F.inline(ENTITIES))
+    fault = F.raise_error(F.concat(F.lit("not a page of entities: "), F.coalesce(F.left(F.col(CORRUPT), F.lit(200)), F.lit("no list"))))
+    checked = F.when(_bad(), fault.cast(T.ArrayType(fields))).otherwise(F.col(ENTITIES))
+    return pages.select(F.inline(checked))
+
+
+def rejected_pages(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType | None = None, multiline: bool = False
+) -> DataFrame:
+    """One row: ``n_pages`` and, among them, ``n_rejected`` that lenient reading leaves out."""
+    fields = _as_struct(schema) if schema is not None else _discover(spark, path, multiline)
+    pages = _read(spark, path, T.ArrayType(fields), multiline)
+    return pages.agg(F.count("*").alias("n_pages"), F.count_if(_bad()).alias("n_rejected"))
+
+
+def _bad() -> Column:
+    return F.col(CORRUPT).isNotNull() | F.col(ENTITIES).isNull()
 
 
 def _read(spark, path, entities: T.DataType, multiline: bool) -> DataFrame:
-    page = T.StructType([T.StructField(ENTITIES, entities)])
-    return spark.read.schema(page).option("multiLine", multiline).json(path)
+    page = T.StructType([T.StructField(ENTITIES, entities), T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(page).option("multiLine", multiline)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def _as_struct(schema: str | T.StructType) -> T.StructType:

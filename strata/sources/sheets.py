@@ -14,16 +14,24 @@ from strata.session import WRITERS, in_parallel
 
 
 def read_sheet(
-    spark: SparkSession, path: str | list[str], multiline: bool = True, columns: list[str] | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    multiline: bool = False,
+    columns: list[str] | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """Read exported tabs; every column is text and empty cells are NULL.
 
-    ``multiline=False`` lets Spark split large files, but is right only when no
-    cell holds a line break. Naming the ``columns`` avoids reading the header
-    beforehand.
+    Set ``multiline`` when cells hold line breaks; each file is then read by one task.
+    Naming the ``columns`` avoids reading a header beforehand. All files of one call need
+    the same header in the same order, and every row as many cells as the header; anything
+    else is an error. ``lenient`` fills short rows and cuts long ones, but never mixes up
+    headers. Tabs with other headers are read one by one and put together with
+    ``union_relations``, by name.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
+    reader = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
     reader = reader.option("escape", '"').option("multiLine", multiline)
+    reader = reader.option("mode", "PERMISSIVE" if lenient else "FAILFAST")
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in columns]))
     return reader.csv(path)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 import strata
 from strata.__main__ import run_command
 from strata.functions.names import TECHNICAL_COLUMNS, layer_db
-from strata.operators.layers import STAGED_MARK, run_log_table
+from strata.operators.layers import run_log_table
 from strata.plans import relational, schedules, sheets, tickets
-from strata.session import scratch_dir, spread
+from strata.session import scratch_dir
+from strata.sources.odata import rejected_pages
 
 
 @pytest.fixture
@@ -36,8 +37,8 @@ def source(spark, subject):
 def test_list_tables(spark, source):
     assert strata.list_tables(spark, source) == ["costs", "other"]
     assert strata.list_tables(spark, source, exclude=["COSTS"]) == ["other"]
-    spark.range(1).write.saveAsTable(f"{source}.half{STAGED_MARK}1")
-    assert strata.list_tables(spark, source) == ["costs", "other"]
+    strata.write_table(spark.range(1), source, "fct__new_clients")
+    assert strata.list_tables(spark, source) == ["costs", "fct__new_clients", "other"]
 
 
 def test_land_adds_technical_columns_and_replaces(spark, source):
@@ -70,7 +71,7 @@ def test_failed_write_keeps_the_old_table(spark, source):
 
 def test_left_over_files_do_not_block_a_write(spark, source):
     place = spark.sql(f"DESCRIBE DATABASE {source}").filter("info_name = 'Location'").first()[1]
-    spark.range(3).write.parquet(f"{place}/other{STAGED_MARK}0")
+    spark.range(3).write.parquet(f"{place}/other-0")
     strata.write_table(spark.range(2), source, "other")
     assert table(spark, source, "other").count() == 2
     assert strata.list_tables(spark, source) == ["costs", "other"]
@@ -87,11 +88,6 @@ def test_copy_layer_is_identical(spark, source, subject):
         strata.copy_layer(spark, source, source.upper())
 
 
-def test_debug_limit(spark, source, subject):
-    strata.copy_layer(spark, source, f"raw_{subject}", debug_limit=2)
-    assert table(spark, f"raw_{subject}", "costs").count() == 2
-
-
 def test_run_log_appends(spark, subject):
     db = strata.create_database(spark, f"mart_{subject}")
     strata.run_log(spark, "from", db, subject, datetime(2024, 1, 1, 5))
@@ -246,8 +242,8 @@ def test_sheet_round_trip(spark):
     rows = [('q"uote', "x,y", "line\nbreak", " pad "), ("a", None, "é", "1")]
     df = spark.createDataFrame(rows, "a string, `b.c` string, `d e` string, f string")
     strata.write_sheet(df, path)
-    assert {tuple(r) for r in strata.read_sheet(spark, path).collect()} == set(rows)
-    named = strata.read_sheet(spark, path, columns=df.columns)
+    assert {tuple(r) for r in strata.read_sheet(spark, path, multiline=True).collect()} == set(rows)
+    named = strata.read_sheet(spark, path, multiline=True, columns=df.columns)
     assert {tuple(r) for r in named.collect()} == set(rows)
 
 
@@ -276,6 +272,46 @@ def test_pages(spark):
     }
 
 
+def test_bad_pages_are_errors_unless_lenient(spark):
+    pages = ['{"value":[{"Id":1}]}', '{"value":[{"Id":2', '{"error":"busy"}', '{"value":[{"Id":"x"}]}']
+    path = scratch_dir(spark, "bad-pages")
+    spark.createDataFrame([(p,) for p in pages], "value string").write.text(path)
+    with pytest.raises(Exception, match="not a page of entities"):
+        strata.read_pages(spark, path, "Id bigint").collect()
+    assert [tuple(r) for r in strata.read_pages(spark, path, "Id bigint", lenient=True).collect()] == [(1,)]
+    assert tuple(rejected_pages(spark, path, "Id bigint").first()) == (4, 3)
+
+
+def test_sheets_do_not_mix_up_headers(spark):
+    path = scratch_dir(spark, "headers")
+    spark.createDataFrame([("x,y",), ("1,2",)], "value string").coalesce(1).write.text(f"{path}/a")
+    spark.createDataFrame([("y,x",), ("20,10",)], "value string").coalesce(1).write.text(f"{path}/b")
+    spark.createDataFrame([("x,y",), ("1,2,3",)], "value string").coalesce(1).write.text(f"{path}/c")
+    with pytest.raises(Exception):
+        strata.read_sheet(spark, [f"{path}/a", f"{path}/b"]).collect()
+    with pytest.raises(Exception):
+        strata.read_sheet(spark, f"{path}/c").collect()
+
+
+def test_swap_keeps_rows_when_it_stops(spark, source, monkeypatch):
+    """A driver that stops before the table is pointed to its new folder leaves the old rows."""
+    from strata.operators import layers
+
+    def stop(*_):
+        raise RuntimeError("stop")
+
+    monkeypatch.setattr(layers, "table_location", stop)
+    with pytest.raises(RuntimeError):
+        strata.write_table(table(spark, source, "other").limit(0), source, "other")
+    monkeypatch.undo()
+    assert table(spark, source, "other").count() == 1
+    monkeypatch.setattr(layers, "remove_folder", stop)
+    with pytest.raises(RuntimeError):
+        strata.write_table(table(spark, source, "other").limit(0), source, "other")
+    monkeypatch.undo()
+    assert table(spark, source, "other").count() == 0
+
+
 def test_relational_options(spark, monkeypatch):
     from strata.sources import relational as source
 
@@ -333,17 +369,10 @@ def test_command_line(spark, source, subject, capsys):
     run_command(spark, ["export", layer_db("mart", subject), scratch_dir(spark, "cli")])
     raw = strata.create_database(spark, f"raw_{subject}2")
     strata.write_table(spark.range(3), raw, "t")
-    run_command(spark, ["finance", raw, "--subject", f"{subject}2", "--debug-limit", "2"])
-    assert table(spark, layer_db("mart", f"{subject}2"), "t").count() == 2
+    run_command(spark, ["finance", raw, "--subject", f"{subject}2"])
+    assert table(spark, layer_db("mart", f"{subject}2"), "t").count() == 3
     run_command(spark, ["crm", raw, "--subject", f"{subject}2"])
     run_command(spark, ["schedules", raw, "--subject", f"{subject}2"])
     assert table(spark, layer_db("mart", f"{subject}2"), "fct_banco").count() == 0
     with pytest.raises(SystemExit):
         run_command(spark, ["nothing"])
-
-
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
-    many = spark.range(100, numPartitions=cores + 1)
-    assert spread(many) is many

@@ -117,7 +117,7 @@ def test_union_of_conflicting_types_is_text(spark):
     two = spark.createDataFrame([("x",)], "v string")
     three = spark.createDataFrame([(None,)], "v bigint")
     union = strata.union_relations(spark, [("a", one), ("b", two), ("c", three), ("a", one)])
-    assert rows(union) == [("a", "1.5"), ("a", "1.5"), ("b", "x"), ("c", None)]
+    assert rows(union) == [("a", "1,5"), ("a", "1,5"), ("b", "x"), ("c", None)]
 
 
 def test_union_of_nothing(spark):
@@ -144,7 +144,8 @@ def test_common_type():
     assert common_type([i, i]) == i
     assert common_type([i, l]) == l
     assert common_type([i, d]) == d
-    assert common_type([l, d]) == s
+    assert common_type([l, d]) == d
+    assert common_type([T.DateType(), T.TimestampType()]) == T.TimestampType()
     assert common_type([dec(10, 2), i]) == dec(12, 2)
     assert common_type([dec(38, 0), dec(38, 9)]) == s
     assert common_type([T.DateType(), T.TimestampNTZType()]) == T.TimestampNTZType()

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 import __spark_entry__ as contract
 import strata
 from strata.plans import tickets
-from workload import inputs
+from workload import inputs, scalar, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,10 +30,8 @@ def plan(df) -> str:
 @pytest.fixture
 def whole_files(spark, monkeypatch):
     """Inputs as a large table has them: enough partitions, nothing to spread."""
-    from workload import scalar, tables
-
     for module in (inputs, scalar, tables):
-        monkeypatch.setattr(module, "heavy", inputs.table, raising=False)
+        monkeypatch.setattr(module, "table", inputs.table, raising=False)
 
 
 @pytest.mark.parametrize("name", ONE_PASS)
@@ -42,7 +40,7 @@ def test_column_operators_do_not_shuffle(spark, whole_files, name):
     assert "Exchange" not in text
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted({**scalar.QUERIES, **tables.QUERIES}))
 def test_no_python_in_any_plan(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     assert "Python" not in text and "Pandas" not in text

@@ -104,13 +104,41 @@ def test_force_and_keep(spark):
 def test_no_digit_is_lost(spark):
     wide = "1" * 30
     rows = [(f"0.{'3' * 12}", wide, wide), ("1", "0.1234567891", "0.5")]
-    typed = strata.type_columns(spark.createDataFrame(rows, "long string, both string, whole string"))
+    df = spark.createDataFrame(rows, "long string, both string, whole string")
+    with pytest.raises(ValueError, match="'both'"):
+        strata.type_columns(df)
+    with pytest.raises(ValueError, match="'both'"):
+        strata.type_columns(df.select("both"), force_numeric=["both"])
+    typed = strata.type_columns(df, keep_text=["both"])
     types = {f.name: f.dataType.simpleString() for f in typed.schema.fields}
     assert types == {"long": "decimal(38,12)", "both": "string", "whole": "decimal(38,1)"}
     assert typed.first().long == Decimal("0." + "3" * 12)
     assert typed.first().whole == Decimal(wide)
 
 
+def test_one_number_form_a_column(spark):
+    rows = [("1.234", "1.234", "1,5"), ("12.5", "2", "0.75"), ("0.75", "1.234.567", "1")]
+    df = spark.createDataFrame(rows, "plain string, local string, both string")
+    report = {r["column"]: (r.n_br_only, r.n_plain_only, r.n_ambiguous) for r in strata.infer_types(df).collect()}
+    assert report == {"plain": (0, 2, 1), "local": (1, 0, 1), "both": (1, 1, 0)}
+    typed = strata.type_columns(df)
+    assert [r.plain for r in typed.collect()] == [Decimal("1.234"), Decimal("12.5"), Decimal("0.75")]
+    assert [r.local for r in typed.collect()] == [1234, 2, 1234567]
+    assert typed.schema["both"].dataType == T.StringType()
+
+
+def test_union_and_typing_keep_values(spark):
+    one = spark.createDataFrame([(Decimal("1.234"),), (Decimal("12.500"),)], "v decimal(18,3)")
+    two = spark.createDataFrame([("R$ 5,00",)], "v string")
+    typed = strata.type_columns(strata.union_relations(spark, [("a", one), ("b", two)]), keep_text=["tabela_origem"])
+    assert sorted(r.v for r in typed.collect()) == [Decimal("1.234"), Decimal(5), Decimal("12.5")]
+
+
+def test_named_columns_must_exist(spark):
+    with pytest.raises(ValueError, match="V_TYPO"):
+        strata.type_columns(spark.createDataFrame([("1",)], "v string"), force_numeric=["V_TYPO"])
+
+
 def test_number_type():
     assert number_type(29, 9) == T.DecimalType(38, 9)
     assert number_type(36, 2) == T.DecimalType(38, 2)

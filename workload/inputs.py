@@ -9,18 +9,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.names import qualified
 from strata.operators.layers import create_database
-from strata.session import in_parallel, scratch_dir, spread
+from strata.session import in_parallel, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows cost much work each: many cores share a small one."""
-    return spread(table(spark, sf_dir, name))
-
-
 def money(value: Column) -> Column:
     """An amount in Brazilian notation, such as ``R$ 1.234,56``."""
     return F.concat(F.lit("R$ "), F.translate(F.format_number(value, 2), ",.", ".,"))
@@ -70,7 +65,7 @@ def words(text: Column, field: str) -> Column:
 
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a ticket; the text is the page with the same number, if any."""
-    orders = heavy(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     pages = table(spark, sf_dir, "pages")
     rows = orders.join(pages, F.col("o_orderkey") == F.col("page_id"), "left")
     status, priority, day = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderdate")
@@ -109,7 +104,7 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a spreadsheet holds them: text only, local notation, empty cells."""
     status = F.col("o_orderstatus")
-    return heavy(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_key"),
         status.alias("status"),
         money(F.col("o_totalprice")).alias("total"),

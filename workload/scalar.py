@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 import strata
 from strata.operators.nullfill import CURRENCY_KEYWORDS
-from workload.inputs import heavy, money, table, text_orders, words
+from workload.inputs import money, table, text_orders, words
 
 
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = heavy(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", strata.strip_html(F.col("html")).alias("body"))
 
 
@@ -58,7 +58,7 @@ FROM events
 
 
 def json_array_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = heavy(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents")
     stored = documents.select("doc_id", words(F.col("text"), "FullName").alias("followers"))
     return stored.select(
         "doc_id", strata.json_array_join(F.col("followers"), "FullName").alias("followers")
@@ -74,7 +74,7 @@ FROM documents
 
 
 def br_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = heavy(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     stored = lines.select("l_orderkey", "l_linenumber", money(F.col("l_extendedprice")).alias("price"))
     return stored.withColumn("price", strata.parse_number(F.col("price")).cast("double"))
 
@@ -88,7 +88,7 @@ FROM lineitem
 
 def forced_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     discount = F.col("l_discount")
-    stored = heavy(spark, sf_dir, "lineitem").select(
+    stored = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.when(discount == 0, "R$ -").when(discount == 0.1, "10%").otherwise(money(discount)).alias("discount"),
@@ -156,28 +156,71 @@ WITH cells AS (
            OR (regexp_matches(cell, '^\d\d/\d\d/\d{{4}}$') AND try_strptime(cell, '%d/%m/%Y') IS NOT NULL) AS date,
            cell
     FROM cells
-), digits AS (
-    SELECT *, br OR plain AS number,
-           CASE WHEN br THEN split_part(regexp_replace(cell, '[R$ .-]', '', 'g'), ',', 1)
-                WHEN plain THEN split_part(cell, '.', 1) ELSE '' END AS whole,
-           CASE WHEN br THEN split_part(cell, ',', 2)
-                WHEN plain THEN split_part(cell, '.', 2) ELSE '' END AS fraction
-    FROM marked
+), forms AS (
+    SELECT *, br OR plain AS number, regexp_matches(cell, '^-?\d+$') AS whole_number FROM marked
 ), counted AS (
     SELECT column_name, count(*) AS n_rows, count(*) FILTER (WHERE blank) AS n_blank,
            count(*) FILTER (WHERE number) AS n_numeric, count(*) FILTER (WHERE date) AS n_date,
-           max(length(whole)) AS integer_digits, max(length(fraction)) AS fraction_digits
-    FROM digits GROUP BY column_name
+           count(*) FILTER (WHERE br AND NOT plain AND NOT whole_number) AS n_br_only,
+           count(*) FILTER (WHERE plain AND NOT br) AS n_plain_only,
+           count(*) FILTER (WHERE plain AND br) AS n_ambiguous,
+           max(CASE WHEN number THEN length(split_part(regexp_replace(cell, '[R$ .-]', '', 'g'), ',', 1)) ELSE 0 END) AS br_whole,
+           max(CASE WHEN number THEN length(split_part(cell, ',', 2)) ELSE 0 END) AS br_fraction,
+           max(CASE WHEN number THEN length(regexp_replace(split_part(cell, '.', 1), '[R$ ,-]', '', 'g')) ELSE 0 END) AS plain_whole,
+           max(CASE WHEN number THEN length(split_part(cell, '.', 2)) ELSE 0 END) AS plain_fraction
+    FROM forms GROUP BY column_name
 )
 SELECT column_name,
        CASE WHEN n_rows = n_blank THEN 'text'
-            WHEN n_numeric = n_rows - n_blank THEN 'numeric'
+            WHEN n_numeric = n_rows - n_blank AND (n_br_only = 0 OR n_plain_only = 0) THEN 'numeric'
             WHEN n_date = n_rows - n_blank THEN 'date' ELSE 'text' END AS inferred_type,
-       n_rows, n_blank, n_numeric, n_date, integer_digits, fraction_digits
+       n_rows, n_blank, n_numeric, n_date,
+       CASE WHEN n_plain_only > 0 AND n_br_only = 0 THEN plain_whole ELSE br_whole END AS integer_digits,
+       CASE WHEN n_plain_only > 0 AND n_br_only = 0 THEN plain_fraction ELSE br_fraction END AS fraction_digits,
+       n_br_only, n_plain_only, n_ambiguous
 FROM counted
 """
 
 
+def typed_mixed_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain text numbers of one, two and three decimals: ``1.234`` is no thousand among them."""
+    scale = F.col("l_linenumber") % 3
+    price = F.col("l_extendedprice").cast("decimal(18,3)") / 1000
+    shown = F.when(scale == 0, price.cast("decimal(18,3)").cast("string"))
+    shown = shown.when(scale == 1, price.cast("decimal(18,2)").cast("string")).otherwise(price.cast("decimal(18,1)").cast("string"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", shown.alias("price"))
+    typed = strata.type_columns(lines)
+    return typed.select("l_orderkey", "l_linenumber", F.round(F.col("price") * 1000).cast("bigint").alias("thousandths"))
+
+
+TYPED_MIXED_FORMS = """
+SELECT l_orderkey, l_linenumber,
+       CAST(round(CASE l_linenumber % 3
+         WHEN 0 THEN CAST(p AS DECIMAL(18, 3)) WHEN 1 THEN CAST(p AS DECIMAL(18, 2)) ELSE CAST(p AS DECIMAL(18, 1)) END * 1000) AS BIGINT) AS thousandths
+FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18, 3)) / 1000 AS DECIMAL(28, 6)) AS p FROM lineitem)
+"""
+
+
+def union_mixed_types_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals, whole numbers and local text of the same column survive union and typing unchanged."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice")
+    amount = F.col("l_extendedprice").cast("decimal(18,2)")
+    one = lines.filter("l_returnflag = 'A'").withColumn("amount", amount.cast("decimal(18,3)"))
+    two = lines.filter("l_returnflag = 'N'").withColumn("amount", amount.cast("decimal(18,2)"))
+    three = lines.filter("l_returnflag = 'R'").withColumn("amount", money(amount))
+    drop = ("l_returnflag", "l_quantity", "l_extendedprice")
+    union = strata.union_relations(spark, [("a", one.drop(*drop)), ("n", two.drop(*drop)), ("r", three.drop(*drop))])
+    typed = strata.type_columns(union, keep_text=["tabela_origem"])
+    return typed.select("tabela_origem", "l_orderkey", "l_linenumber", F.round(F.col("amount") * 100).cast("bigint").alias("cents"))
+
+
+UNION_MIXED_TYPES_TYPED = """
+SELECT lower(l_returnflag) AS tabela_origem, l_orderkey, l_linenumber,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18, 2)) * 100) AS BIGINT) AS cents
+FROM lineitem
+"""
+
+
 def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = strata.type_columns(text_orders(spark, sf_dir), keep_text=["order_key"])
     return typed.select(
@@ -394,6 +437,8 @@ QUERIES = {
     "forced_numeric": (forced_numeric, FORCED_NUMERIC),
     "date_parse": (date_parse, DATE_PARSE),
     "infer_types": (infer_types, INFER_TYPES),
+    "typed_mixed_forms": (typed_mixed_forms, TYPED_MIXED_FORMS),
+    "union_mixed_types_typed": (union_mixed_types_typed, UNION_MIXED_TYPES_TYPED),
     "typed_projection": (typed_projection, TYPED_PROJECTION),
     "union_relations": (union_relations, UNION_RELATIONS),
     "source_code": (source_code, SOURCE_CODE),

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 import strata
 from strata.functions.names import TECHNICAL_COLUMNS, layer_db, q
 from strata.plans import relational, schedules, sheets, tickets
-from strata.session import in_parallel, scratch_dir, spread
+from strata.session import in_parallel, scratch_dir
 from workload.inputs import (
     amount_text,
     fresh_db,
     fresh_subject,
-    heavy,
+    table,
     in_db,
     money,
     raw_tickets,
@@ -54,7 +54,7 @@ UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier
 def _gap_tables(spark: SparkSession, sf_dir: str) -> str:
     """A database with two tables that hold NULLs."""
     database = fresh_db(spark, "gaps")
-    strata.write_table(spread(_gaps(spark, sf_dir)), database, "lines")
+    strata.write_table(_gaps(spark, sf_dir), database, "lines")
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
@@ -257,7 +257,7 @@ def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     stored = customers.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
     strata.write_sheet(stored, folder)
-    strata.land(strata.read_sheet(spark, folder), database, "customer", generation_id=3)
+    strata.land(strata.read_sheet(spark, folder, multiline=True), database, "customer", generation_id=3)
     landed = in_db(spark, database, "customer")
     return landed.select(
         *customers.columns, F.col(TECHNICAL_COLUMNS[-1]).alias("generation_id")
@@ -275,7 +275,7 @@ FROM customer
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "export")
     strata.export_layer(spark, source_db(spark, sf_dir, ["documents", "region"]), folder)
-    tab = lambda name, key, text: strata.read_sheet(spark, f"{folder}/{name}").select(
+    tab = lambda name, key, text: strata.read_sheet(spark, f"{folder}/{name}", multiline=True).select(
         F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(text).alias("text")
     )
     return tab("documents", "doc_id", "text").unionAll(tab("region", "r_regionkey", "r_name"))
@@ -390,7 +390,7 @@ def _raw_id(*keys: str):
 
 def schedules_bank_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bank tables of three schedules that differ in columns and notation."""
-    orders = heavy(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     part = lambda status: orders.filter(F.col("o_orderstatus") == status)
     key, level = F.col("o_orderkey").cast("string").alias("MK"), F.col("o_orderpriority")
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
@@ -430,7 +430,7 @@ FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'mk101' WHEN 'O' THEN 'mk202' E
 
 def schedules_activities_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as activity tables; the column names hold nothing in common but two."""
-    lines = heavy(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     part = lambda flag: lines.filter(F.col("l_returnflag") == flag)
     item = F.col("l_partkey").cast("string").alias("No_EAP")
     cost = money(F.col("l_extendedprice")).alias("VALOR_DA_ATIVIDADE")
@@ -465,7 +465,7 @@ FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 'mk7' WHEN 'N' THEN 'mk8' ELSE '
 
 def schedules_deliveries_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as delivery tables with alternating money columns, two of them placeholders."""
-    lines = heavy(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     part = lambda flag: lines.filter(F.col("l_returnflag") == flag)
     price, tax = money(F.col("l_extendedprice")), money(F.col("l_tax"))
     item = F.col("l_partkey").cast("string").alias("ENTREGA")
