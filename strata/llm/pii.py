@@ -3,7 +3,7 @@
 Base spans are the leftmost non-overlapping matches of four patterns (``PATTERNS``) that
 pass their check. They are the seeds of the bootstrap:
 
-1. Mentions. Identifier-like words (they hold a digit or an at sign) are taken from all
+1. Mentions. Identifier-like words (they hold a digit, an at sign or a bracket) are taken from all
    texts with the word before and the word after. A mention that overlaps a base span is an
    instance of its kind; others may become one if they have the shape of a kind
    (``SHAPES``) without being a base match, such as a national phone number.
@@ -51,7 +51,7 @@ ROUNDS = 3
 LEAST_PATTERN = 0.5
 LEAST_INSTANCE = 0.8
 LEAST_SEEDS = 5
-_WORD = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+_WORD = r"(?<!\S)[^\s0-9@(\[]*+[0-9@(\[]\S*+"
 _EDGES = ".,;:!?\"'()[]<>{}"
 
 
@@ -128,7 +128,7 @@ def _mentions(text: Column) -> Column:
         ),
     )
     none = F.array().cast("array<struct<found:string,start:int,end:int,before:string,after:string>>")
-    return F.when(F.regexp_like(text, F.lit("[0-9@]")), near).otherwise(none)
+    return F.when(F.regexp_like(text, F.lit(r"[0-9@(\[]")), near).otherwise(none)
 
 
 def _bare(word: Column) -> Column:
