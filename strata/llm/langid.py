@@ -182,6 +182,8 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAM
     if not languages:
         return Model([], idf, np.zeros((DIMENSIONS, 0), np.float32), np.zeros(0), 1.0)
     share = max(1, sample // languages)
+    # One row a language, counted above; without the hint all texts would be dealt out by language.
+    by_language = F.broadcast(by_language) if languages <= 10_000 else by_language
     # Rows are thinned by hash before they are numbered, so a language brings few more than its share.
     chance = (F.xxhash64("text", "lang").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
     drawn = rows.withColumn("chance", chance).join(by_language, "lang").filter(F.col("chance") * F.col("n") <= 2.0 * share + 50)
