@@ -83,6 +83,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder, from its listing alone."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 def transform_layer(
     spark: SparkSession,
     source_db: str,

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.names import qualified
-from strata.operators.layers import list_tables
+from strata.operators.layers import folder_bytes, list_tables, table_location
+from strata.operators.union import union_all
+from strata.session import in_parallel
 
 log = logging.getLogger(__name__)
 
@@ -24,13 +24,13 @@ def profile_layer(
 ) -> DataFrame:
     """One row per table: ``table_name, row_count, column_count, size_in_bytes, profiled_at``.
 
-    All tables are counted by one job. Missing tables are skipped with a
-    warning; nothing to profile at all is an error. The size is that of the
-    live data files that hold rows.
+    All tables are counted by one job, which reads no data column. The size is that
+    of all files below the folder of the table, whatever their format; it is NULL for
+    tables without a folder. Missing tables are skipped with a warning; nothing to
+    profile at all is an error.
     """
-    wanted = list_tables(spark, database) if tables is None else tables
-    found = []
-    for table in wanted:
+    found = list_tables(spark, database) if tables is None else []
+    for table in tables or []:
         if spark.catalog.tableExists(qualified(database, table)):
             found.append(table)
         else:
@@ -38,32 +38,25 @@ def profile_layer(
     if not found:
         raise ValueError(f"no table to profile in {database!r}")
     at = profiled_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    parts = [profile_table(spark.table(qualified(database, t)), t, at) for t in found]
-    return reduce(DataFrame.unionAll, parts)
 
+    def one(table: str) -> DataFrame:
+        folder = table_location(spark, database, table)
+        size = None if folder is None else folder_bytes(spark, folder)
+        return profile_table(spark.table(qualified(database, table)), table, at, size)
 
-def profile_table(df: DataFrame, table: str, profiled_at: datetime) -> DataFrame:
-    counts = df.agg(F.count("*").alias("row_count"), _file_bytes(df).alias("size_in_bytes"))
-    return counts.select(
+    return union_all(in_parallel(spark, one, found))
+
+
+def profile_table(df: DataFrame, table: str, profiled_at: datetime, size: int | None = None) -> DataFrame:
+    return df.agg(
         F.lit(table).alias("table_name"),
-        "row_count",
+        F.count("*").alias("row_count"),
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        "size_in_bytes",
+        F.lit(size).cast("bigint").alias("size_in_bytes"),
         F.lit(profiled_at.isoformat(" ")).cast("timestamp_ntz").alias("profiled_at"),
     )
 
 
-def _file_bytes(df: DataFrame) -> Column:
-    # The first row of each Parquet file carries the size of its file: a sum
-    # without grouping by file, and no data column is read.
-    try:
-        df.select("_metadata.row_index", "_metadata.file_size")
-    except AnalysisException:
-        return F.lit(None).cast("bigint")
-    first = F.col("_metadata.row_index") == 0
-    return F.coalesce(F.sum(F.when(first, F.col("_metadata.file_size"))), F.lit(0))
-
-
 def record_profile(
     spark: SparkSession,
     database: str,

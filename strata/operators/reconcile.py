@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +11,14 @@ from pyspark.sql import types as T
 from strata.functions.brazil import number_text
 from strata.functions.names import RAW_ID, check_case_collisions, col, family, qualified
 from strata.operators.layers import list_tables
+from strata.operators.union import union_all
 
 log = logging.getLogger(__name__)
 
 _SOURCE, _TARGET = 1, 2
 
-# Wider tables are compared in several groups of columns, each reading its own
-# columns and the key. The NULLs of a group fit one 64-bit mask, and its
-# generated code stays small.
-COLUMNS_AT_ONCE = 40
+# How many columns share one mask of NULLs.
+_MASK_BITS = 60
 
 
 def reconcile(
@@ -37,7 +35,7 @@ def reconcile(
     Both sides are reduced to fixed-width fingerprints (128 bits a value) before
     the only shuffle, and grouped by key instead of joined: wide text is not
     moved, and a key that fills a large part of a table collapses in the map
-    side aggregate.
+    side aggregate. Each side is read once however wide the table is.
     """
     check_case_collisions(source.columns)
     check_case_collisions(target.columns)
@@ -46,21 +44,13 @@ def reconcile(
     shared = [n for n in source.columns if n in target.columns and n != key]
     if not shared:
         raise ValueError("no shared column to compare")
-    parts = [
-        _compare(source, target, key, table, shared[start : start + COLUMNS_AT_ONCE])
-        for start in range(0, len(shared), COLUMNS_AT_ONCE)
-    ]
-    return reduce(DataFrame.unionAll, parts)
-
-
-def _compare(source, target, key: str, table: str, names: list[str]) -> DataFrame:
     # The expressions of a column are SQL text: built as such, a wide table
     # costs a few calls per column instead of some dozens.
-    left = _prints(source, target, key, names, _SOURCE)
-    right = _prints(target, source, key, names, _TARGET)
-    ids = range(len(names))
+    left = _prints(source, target, key, shared, _SOURCE)
+    right = _prints(target, source, key, shared, _TARGET)
+    ids = range(len(shared))
     sums = ["sum(in_source) AS ns", "sum(in_target) AS nt"]
-    sums += [f"bit_or({c}) AS {c}" for c in ("source_nulls", "target_nulls")]
+    sums += [f"bit_or({s}_nulls{w}) AS {s}_nulls{w}" for s in ("source", "target") for w in _words(shared)]
     sums += [f"bit_xor({p}{i}) AS {p}{i}" for p in "ab" for i in ids]
     keys = left.unionAll(right).groupBy("key").agg(*map(F.expr, sums))
     unpaired = "key IS NULL OR ns > 1 OR nt > 1"
@@ -80,7 +70,7 @@ def _compare(source, target, key: str, table: str, names: list[str]) -> DataFram
         f"struct({_literal(table)} AS table_name, {_literal(name)} AS column_name, e{i} AS matched, "
         f"paired - e{i} - f{i} AS changed, f{i} AS null_filled, "
         "missing, extra, unpaired_source, unpaired_target)"
-        for i, name in enumerate(names)
+        for i, name in enumerate(shared)
     )
     return flags.agg(*map(F.expr, counts)).selectExpr(f"inline(array({rows}))")
 
@@ -89,8 +79,12 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _words(names: list[str]) -> range:
+    return range((len(names) + _MASK_BITS - 1) // _MASK_BITS)
+
+
 def _null(side: str, i: int) -> str:
-    return f"({side}_nulls & {1 << i}L) <> 0"
+    return f"({side}_nulls{i // _MASK_BITS} & {1 << i % _MASK_BITS}L) <> 0"
 
 
 def _equal(i: int) -> str:
@@ -99,20 +93,23 @@ def _equal(i: int) -> str:
 
 
 def _prints(df: DataFrame, other: DataFrame, key: str, names: list[str], side: int) -> DataFrame:
-    """Key, side, two fingerprints per column, and a bit mask of the columns that are NULL."""
+    """Key, side, two fingerprints per column, and bit masks of the columns that are NULL."""
     values = df.select(
         _comparable(df, other, key).alias("key"),
         *[_comparable(df, other, n).alias(f"v{i}") for i, n in enumerate(names)],
     )
     ids = range(len(names))
-    nulls = " | ".join(f"IF(v{i} IS NULL, {1 << i}L, 0L)" for i in ids)
+    nulls = [
+        " | ".join(f"IF(v{i} IS NULL, {1 << i % _MASK_BITS}L, 0L)" for i in ids if i // _MASK_BITS == w)
+        for w in _words(names)
+    ]
     is_source = side == _SOURCE
     return values.selectExpr(
         "key",
         f"{1 if is_source else 0}L AS in_source",
         f"{0 if is_source else 1}L AS in_target",
-        f"{nulls if is_source else '0L'} AS source_nulls",
-        f"{'0L' if is_source else nulls} AS target_nulls",
+        *[f"{mask if is_source else '0L'} AS source_nulls{w}" for w, mask in enumerate(nulls)],
+        *[f"{'0L' if is_source else mask} AS target_nulls{w}" for w, mask in enumerate(nulls)],
         *[f"xxhash64(v{i}) AS a{i}" for i in ids],
         *[f"xxhash64({i + 1}, v{i}) AS b{i}" for i in ids],
     )
@@ -152,4 +149,4 @@ def reconcile_layers(
             log.warning("table %s has no %s, skipped", table, key)
     if not parts:
         raise ValueError(f"{source_db!r} and {target_db!r} have no table in common with {key!r}")
-    return reduce(DataFrame.unionAll, parts)
+    return union_all(parts)

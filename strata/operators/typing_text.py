@@ -107,6 +107,7 @@ def apply_types(
     report: DataFrame,
     force_numeric: list[str] | None = None,
     keep_text: list[str] | None = None,
+    partners: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Project every text column to its reported type, technical columns first and intact.
 
@@ -114,6 +115,9 @@ def apply_types(
     that are not numbers become NULL. ``keep_text`` columns stay as they are,
     codes with leading zeros for example. Both have to name text columns of the
     table. A number too long for any decimal is an error that names its column.
+
+    Of two ``partners``, columns that are to be merged, one without any value becomes
+    numeric if the other is.
     """
     forced, kept = set(force_numeric or []), set(keep_text or [])
     if forced & kept:
@@ -121,6 +125,10 @@ def apply_types(
     if absent := (forced | kept) - set(df.columns):
         raise ValueError(f"no such columns: {sorted(absent)}")
     found = {r["column"]: r for r in report.collect()}
+    numeric = lambda n: n in forced or (n in found and found[n]["inferred_type"] == "numeric")
+    blank = lambda n: n in found and n not in kept and found[n]["n_rows"] == found[n]["n_blank"]
+    pairs = [p for a, b in partners or [] for p in ((a, b), (b, a))]
+    forced |= {a for a, b in pairs if blank(a) and numeric(b)}
     technical, business = split_technical(df.columns)
     targets = {n: _target(n, found.get(n), n in forced) for n in text_columns(df) if n not in kept}
     cast = {n: t for n, t in targets.items() if t is not None}
@@ -169,7 +177,8 @@ def type_columns(
     df: DataFrame,
     force_numeric: list[str] | None = None,
     keep_text: list[str] | None = None,
+    partners: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """``infer_types`` and ``apply_types`` in one step."""
     names = [n for n in text_columns(df) if n not in set(keep_text or [])]
-    return apply_types(df, infer_types(df, names), force_numeric, keep_text)
+    return apply_types(df, infer_types(df, names), force_numeric, keep_text, partners)

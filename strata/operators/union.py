@@ -89,7 +89,11 @@ def union_relations(
         df.select(F.lit(name).alias(source_column), *[_aligned(df, f) for f in target.fields])
         for name, df in relations
     ]
-    # Pairwise, so that the plan of many relations stays shallow.
+    return union_all(parts)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union by position, pairwise, so that the plan of many parts stays shallow."""
     while len(parts) > 1:
         parts = [
             parts[i].unionAll(parts[i + 1]) if i + 1 < len(parts) else parts[i]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from strata.operators.union import (
 )
 from strata.session import WRITERS, in_parallel
 
+log = logging.getLogger(__name__)
+
 SUBJECT = "cronogramas"
 
 
@@ -61,12 +64,20 @@ def staging(
     spark: SparkSession,
     relations: list[tuple[str, DataFrame]],
     force_numeric: list[str] | None = None,
+    merges: list[tuple[str, str, str]] | None = None,
 ) -> DataFrame:
-    """Union of the relations with code and origin in front and typed columns behind."""
+    """Union of the relations with code and origin in front and typed columns behind.
+
+    Columns to force that no relation has are named in a warning. A column without any
+    value is numeric if the one it is to be merged with is.
+    """
     union = union_relations(spark, relations)
     technical, business = split_technical([n for n in union.columns if n != SOURCE_COLUMN])
     forced = [n for n in force_numeric or [] if n in business]
-    typed = type_columns(union, force_numeric=forced, keep_text=[SOURCE_COLUMN])
+    if relations and (absent := sorted(set(force_numeric or []) - set(forced))):
+        log.warning("no columns %s in %s", ", ".join(absent), ", ".join(name for name, _ in relations))
+    pairs = [(first, second) for first, second, _ in merges or []]
+    typed = type_columns(union, force_numeric=forced, keep_text=[SOURCE_COLUMN], partners=pairs)
     return typed.select(
         source_code(col(SOURCE_COLUMN)).alias(CODE_COLUMN),
         *[col(n) for n in [SOURCE_COLUMN, *technical, *business]],
@@ -112,7 +123,7 @@ def run(
 
     def rebuild(kind: Kind) -> DataFrame:
         relations = find_relations(spark, raw_db, codes, kind.suffix)
-        write_table(staging(spark, relations, kind.force_numeric), stg_db, kind.table)
+        write_table(staging(spark, relations, kind.force_numeric, kind.merges), stg_db, kind.table)
         stg = spark.table(qualified(stg_db, kind.table))
         write_table(intermediate(stg, kind.merges, strict), int_db, kind.table)
         write_table(mart(spark.table(qualified(int_db, kind.table))), mart_db, kind.table)

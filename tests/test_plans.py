@@ -111,6 +111,8 @@ def test_reconcile_of_a_wide_table(spark):
         *[(F.col("id") + i).alias(f"c{i}") for i in range(180)],
     )
     changed = wide.withColumn("c7", F.lit(None).cast("bigint"))
-    got = {r.column_name: (r.matched, r.changed) for r in strata.reconcile(wide, changed).collect()}
+    compared = strata.reconcile(wide, changed)
+    assert plan(compared).count("hashpartitioning") == 1
+    got = {r.column_name: (r.matched, r.changed) for r in compared.collect()}
     assert got.pop("c7") == (0, 200)
     assert set(got.values()) == {(200, 0)} and len(got) == 179

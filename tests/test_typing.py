@@ -101,6 +101,15 @@ def test_force_and_keep(spark):
         strata.type_columns(df, force_numeric=["n"], keep_text=["n"])
 
 
+def test_a_blank_partner_follows_its_number(spark):
+    df = spark.createDataFrame([("1,5", "-", "", None, "x", "")], "a string, b string, c string, d string, e string, f string")
+    types = lambda **named: [f.dataType.simpleString()[:7] for f in strata.type_columns(df, **named).schema]
+    pairs = [("a", "b"), ("d", "c"), ("f", "e")]
+    assert types(partners=pairs) == ["decimal", "decimal", "string", "string", "string", "string"]
+    assert types(partners=pairs, force_numeric=["c"])[2:4] == ["decimal", "decimal"]
+    assert types(partners=pairs, keep_text=["b"])[1] == "string"
+
+
 def test_no_digit_is_lost(spark):
     wide = "1" * 30
     rows = [(f"0.{'3' * 12}", wide, wide), ("1", "0.1234567891", "0.5")]

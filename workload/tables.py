@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.functions.names import TECHNICAL_COLUMNS, layer_db, q
+from strata.functions.names import EXTRACTED_AT, GENERATION_ID, META, RAW_ID, layer_db, q, resolve_db
+from strata.operators.layers import RUN_AT as RUN_AT_COLUMN
+from strata.operators.layers import RUN_SOURCE, RUN_TARGET, run_log_table
 from strata.plans import relational, schedules, sheets, tickets
 from strata.session import in_parallel, scratch_dir
+from strata.sources.odata import rejected_pages
 from workload.inputs import (
     amount_text,
     fresh_db,
     fresh_subject,
-    table,
     in_db,
     money,
     raw_tickets,
@@ -30,24 +32,23 @@ RUN_AT = datetime(2024, 1, 1)
 
 def layer_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = source_db(spark, sf_dir, ["customer", "lineitem", "orders", "supplier"])
-    target = fresh_db(spark, "copy")
+    target = resolve_db(fresh_subject(spark, "lines", ("copy",)), "copy")
     strata.copy_layer(spark, source, target)
-    rows = lambda name, key, text: in_db(spark, target, name).select(
-        F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(text).alias("text")
-    )
-    return (
-        rows("customer", "c_custkey", "c_name")
-        .unionAll(rows("lineitem", "l_orderkey", "l_returnflag"))
-        .unionAll(rows("orders", "o_orderkey", "o_orderpriority"))
-        .unionAll(rows("supplier", "s_suppkey", "s_name"))
-    )
+    rows = in_db(spark, target, "customer").withColumn("table_name", F.lit("customer"))
+    for name in ("lineitem", "orders", "supplier"):
+        copied = in_db(spark, target, name).withColumn("table_name", F.lit(name))
+        rows = rows.unionByName(copied, allowMissingColumns=True)
+    return rows.withColumns({n: F.col(n).cast("string") for n in ("o_orderdate", "l_shipdate")})
 
 
 LAYER_COPY = """
-SELECT 'customer' AS table_name, c_custkey AS key, c_name AS text FROM customer
-UNION ALL SELECT 'lineitem', l_orderkey, l_returnflag FROM lineitem
-UNION ALL SELECT 'orders', o_orderkey, o_orderpriority FROM orders
-UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier
+SELECT 'customer' AS table_name, * FROM customer
+UNION ALL BY NAME
+SELECT 'lineitem' AS table_name, * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem
+UNION ALL BY NAME
+SELECT 'orders' AS table_name, * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders
+UNION ALL BY NAME
+SELECT 'supplier' AS table_name, * FROM supplier
 """
 
 
@@ -72,6 +73,9 @@ def _gap_rows(spark: SparkSession, database: str, money_type: str) -> DataFrame:
         F.col("unit_cost").cast(money_type).alias("cost"),
         "sale_value",
         F.col("shipped").cast("string").alias("shipped"),
+        F.col("l_linenumber").alias("line"),
+        "active",
+        F.col("ship_day").cast("string").alias("ship_day"),
     )
     customers = in_db(spark, database, "customers").select(
         F.lit("customers").alias("table_name"),
@@ -80,18 +84,22 @@ def _gap_rows(spark: SparkSession, database: str, money_type: str) -> DataFrame:
         F.lit(None).cast(money_type).alias("cost"),
         F.col("value_nation").cast("string").alias("sale_value"),
         F.lit(None).cast("string").alias("shipped"),
+        F.lit(None).cast("int").alias("line"),
+        F.lit(None).cast("boolean").alias("active"),
+        F.lit(None).cast("string").alias("ship_day"),
     )
     return lines.unionAll(customers)
 
 
-def _gap_sql(cost: str, sale: str, shipped: str, nation: str, cost_type: str) -> str:
+def _gap_sql(cost: str, sale: str, date: str, nation: str, cost_type: str) -> str:
     return f"""
 SELECT 'lines' AS table_name, coalesce(l_orderkey, 0) AS key, coalesce(l_returnflag, '') AS label,
-       {cost} AS cost, {sale} AS sale_value, {shipped} AS shipped
+       {cost} AS cost, {sale} AS sale_value, {date.format("shipped")} AS shipped,
+       coalesce(l_linenumber, 0) AS line, active, {date.format("ship_day")} AS ship_day
 FROM ({GAPS})
 UNION ALL
 SELECT 'customers', c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), ''),
-       CAST(NULL AS {cost_type}), {nation}, NULL
+       CAST(NULL AS {cost_type}), {nation}, NULL, NULL, NULL, NULL
 FROM customer
 """
 
@@ -105,7 +113,7 @@ def layer_null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 LAYER_NULL_FILL = _gap_sql(
     cost="CAST(coalesce(unit_cost, 0) AS DOUBLE)",
     sale="coalesce(sale_value, '')",
-    shipped="CAST(shipped AS VARCHAR)",
+    date="CAST({} AS VARCHAR)",
     nation="CAST(coalesce(nullif(c_nationkey, 7), 0) AS VARCHAR)",
     cost_type="DOUBLE",
 )
@@ -120,7 +128,7 @@ def finance_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 FINANCE_MART = _gap_sql(
     cost="CAST(coalesce(unit_cost, 0) AS DOUBLE)",
     sale="coalesce(sale_value, '')",
-    shipped="coalesce(CAST(shipped AS VARCHAR), '0000-00-00 00:00:00.000')",
+    date="coalesce(CAST({} AS VARCHAR), '0000-00-00 00:00:00.000')",
     nation="CAST(coalesce(nullif(c_nationkey, 7), 0) AS VARCHAR)",
     cost_type="DOUBLE",
 )
@@ -135,7 +143,7 @@ def crm_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 CRM_MART = _gap_sql(
     cost="'R$ ' || coalesce(CAST(unit_cost AS VARCHAR), '0')",
     sale="'R$ ' || coalesce(sale_value, '')",
-    shipped="coalesce(CAST(shipped AS VARCHAR), '0000-00-00 00:00:00.000')",
+    date="coalesce(CAST({} AS VARCHAR), '0000-00-00 00:00:00.000')",
     nation="'R$ ' || CAST(coalesce(nullif(c_nationkey, 7), 0) AS VARCHAR)",
     cost_type="VARCHAR",
 )
@@ -147,13 +155,21 @@ PROFILED = [
 
 
 def layer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = strata.profile_layer(spark, source_db(spark, sf_dir, PROFILED))
-    return profile.select("table_name", "row_count", "column_count")
+    """The second of two recorded profiles, with the time of the first."""
+    source, history = source_db(spark, sf_dir, PROFILED), fresh_db(spark, "audit")
+    strata.record_profile(spark, source, history, profiled_at=RUN_AT)
+    latest = strata.record_profile(spark, source, history, profiled_at=RUN_AT + timedelta(days=1))
+    return latest.select(
+        "table_name", "row_count", "column_count", (F.col("size_in_bytes") > 0).alias("has_size"),
+        F.col("profiled_at").cast("string").alias("profiled_at"),
+        F.col("first_seen").cast("string").alias("first_seen"),
+    )
 
 
 LAYER_PROFILE = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, "
-    f"(SELECT count(*) FROM (DESCRIBE {t})) AS column_count"
+    f"(SELECT count(*) FROM (DESCRIBE {t})) AS column_count, true AS has_size, "
+    "'2024-01-02 00:00:00' AS profiled_at, '2024-01-01 00:00:00' AS first_seen"
     for t in PROFILED
 )
 
@@ -259,14 +275,21 @@ def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     strata.write_sheet(stored, folder)
     strata.land(strata.read_sheet(spark, folder, multiline=True), database, "customer", generation_id=3)
     landed = in_db(spark, database, "customer")
-    return landed.select(
-        *customers.columns, F.col(TECHNICAL_COLUMNS[-1]).alias("generation_id")
+    ids = landed.groupBy(RAW_ID).agg(F.count("*").alias("uses"))
+    repeated = ids.filter("uses > 1").select(RAW_ID).withColumn("id_repeated", F.lit(True))
+    return landed.join(repeated, RAW_ID, "left").select(
+        *customers.columns,
+        (F.col(RAW_ID).isNotNull() & F.col("id_repeated").isNull()).alias("has_own_id"),
+        F.col(EXTRACTED_AT).isNotNull().alias("has_load_time"),
+        F.col(META).alias("changes"),
+        F.col(GENERATION_ID).alias("generation_id"),
     )
 
 
 LAND_ROUNDTRIP = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment,
+       true AS has_own_id, true AS has_load_time, '{"changes":[]}' AS changes,
        CAST(3 AS BIGINT) AS generation_id
 FROM customer
 """
@@ -275,15 +298,41 @@ FROM customer
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "export")
     strata.export_layer(spark, source_db(spark, sf_dir, ["documents", "region"]), folder)
-    tab = lambda name, key, text: strata.read_sheet(spark, f"{folder}/{name}", multiline=True).select(
-        F.lit(name).alias("table_name"), F.col(key).alias("key"), F.col(text).alias("text")
+    tab = lambda name: strata.read_sheet(spark, f"{folder}/{name}", multiline=True).withColumn(
+        "table_name", F.lit(name)
     )
-    return tab("documents", "doc_id", "text").unionAll(tab("region", "r_regionkey", "r_name"))
+    return tab("documents").unionByName(tab("region"), allowMissingColumns=True)
 
 
 EXPORT_ROUNDTRIP = """
-SELECT 'documents' AS table_name, CAST(doc_id AS VARCHAR) AS key, nullif(text, '') AS text FROM documents
-UNION ALL SELECT 'region', CAST(r_regionkey AS VARCHAR), r_name FROM region
+SELECT 'documents' AS table_name, CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text,
+       nullif(lang, '') AS lang, nullif(source, '') AS source, CAST(n_chars AS VARCHAR) AS n_chars
+FROM documents
+UNION ALL BY NAME
+SELECT 'region' AS table_name, CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region
+"""
+
+
+def sheet_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as one tab a segment, each with its columns in another order."""
+    folder, customers = scratch_dir(spark, "tabs"), table(spark, sf_dir, "customer")
+    names, tabs = customers.columns, []
+    stored = customers.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
+    for i, segment in enumerate(SEGMENTS):
+        path = f"{folder}/{segment.lower()}"
+        rows = stored.filter(F.col("c_mktsegment") == segment)
+        strata.write_sheet(rows.select(names[i:] + names[:i]), path)
+        tabs.append((segment, strata.read_sheet(spark, path)))
+    return strata.union_relations(spark, tabs)
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+SHEET_HEADER_ORDER = f"""
+SELECT c_mktsegment AS tabela_origem, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer WHERE c_mktsegment IN ({", ".join(f"'{s}'" for s in SEGMENTS)})
 """
 
 
@@ -308,6 +357,30 @@ SELECT c_custkey AS Id, role AS Role, c_name AS Name,
 FROM customer, (VALUES ('buyer'), ('payer')) r(role)
 """
 
+
+def odata_bad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as pages; those of one status are cut short, those of one priority are error documents."""
+    folder, schema = scratch_dir(spark, "pages"), "Id bigint, Status string"
+    entity = F.struct(F.col("o_orderkey").alias("Id"), F.col("o_orderstatus").alias("Status"))
+    page = F.to_json(F.struct(F.array(entity).alias("value")))
+    sent = (
+        F.when(F.col("o_orderstatus") == "P", F.left(page, F.length(page) - 4))
+        .when(F.col("o_orderpriority") == "5-LOW", '{"error":"busy"}')
+        .otherwise(page)
+    )
+    table(spark, sf_dir, "orders").select(sent.alias("page")).write.text(folder)
+    entities = strata.read_pages(spark, folder, schema, lenient=True)
+    counts = rejected_pages(spark, folder, schema)
+    return entities.unionByName(counts, allowMissingColumns=True)
+
+
+ODATA_BAD_PAGES = """
+SELECT o_orderkey AS Id, o_orderstatus AS Status, CAST(NULL AS BIGINT) AS n_pages, CAST(NULL AS BIGINT) AS n_rejected
+FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'
+UNION ALL
+SELECT NULL, NULL, count(*), count(*) FILTER (WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW') FROM orders
+"""
+
 # ---------------------------------------------------------------- tickets
 
 TICKET_CLEAN = rf"""
@@ -428,6 +501,38 @@ FROM (SELECT *, CASE o_orderstatus WHEN 'F' THEN 'mk101' WHEN 'O' THEN 'mk202' E
 """
 
 
+def schedules_missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as bank tables; one wanted code has no table, and one kind has none at all."""
+    orders = table(spark, sf_dir, "orders")
+    price = money(F.col("o_totalprice")).alias("Valor_entregue__Cliente_")
+    subject = fresh_subject(spark, "schedules", ("raw", "stg", "int", "mart"))
+    raw_db = layer_db("raw", subject)
+    for status, code in (("F", "mk101"), ("O", "mk202")):
+        part = orders.filter(F.col("o_orderstatus") == status).select(_raw_id("o_orderkey"), price)
+        strata.write_table(part, raw_db, f"{code}_00___BANCO")
+    marts = schedules.run(
+        spark, raw_db, ["mk101", "mk202", "mk404"], [schedules.BANK, schedules.ACTIVITIES], subject
+    )
+    bank = marts["fct_banco"].withColumn(
+        "Valor_entregue__Cliente_", F.col("Valor_entregue__Cliente_").cast("double")
+    )
+    empty = marts["fct_atividades"]
+    width = empty.agg(F.count("*").alias("empty_rows"), F.lit(",".join(empty.columns)).alias("empty_columns"))
+    return bank.unionByName(width, allowMissingColumns=True)
+
+
+SCHEDULES_MISSING_TABLES = """
+SELECT CASE o_orderstatus WHEN 'F' THEN 'mk101' ELSE 'mk202' END AS codigo_cronograma,
+       CASE o_orderstatus WHEN 'F' THEN 'mk101' ELSE 'mk202' END || '_00___BANCO' AS tabela_origem,
+       CAST(o_orderkey AS VARCHAR) AS _airbyte_raw_id,
+       CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS Valor_entregue__Cliente_,
+       CAST(NULL AS BIGINT) AS empty_rows, CAST(NULL AS VARCHAR) AS empty_columns
+FROM orders WHERE o_orderstatus IN ('F', 'O')
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 0, 'codigo_cronograma,tabela_origem'
+"""
+
+
 def schedules_activities_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as activity tables; the column names hold nothing in common but two."""
     lines = table(spark, sf_dir, "lineitem")
@@ -543,7 +648,18 @@ def sheets_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("iso_day"),
         F.col("segment").alias("label"),
     )
-    return orders.unionAll(rest)
+    rows = orders.unionAll(rest)
+    # The run logs, without the part of a name that is new in every run.
+    plain = lambda name: F.replace(F.replace(name, F.lit(subject), F.lit("sheets")), F.lit(source), F.lit("source"))
+    for layer in ("raw", "stg", "mart"):
+        log = in_db(spark, layer_db(layer, subject), run_log_table(subject))
+        runs = log.select(
+            F.lit("log").alias("table_name"),
+            F.col(RUN_AT_COLUMN).cast("string").alias("day"),
+            F.concat_ws("/", plain(F.col(RUN_SOURCE)), plain(F.col(RUN_TARGET))).alias("label"),
+        )
+        rows = rows.unionByName(runs, allowMissingColumns=True)
+    return rows
 
 
 SHEETS_MART = f"""
@@ -557,6 +673,9 @@ UNION ALL
 SELECT 'customers', c_custkey, CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS DOUBLE), NULL, NULL, NULL,
        coalesce(nullif(c_mktsegment, 'BUILDING'), '')
 FROM customer
+UNION ALL
+SELECT 'log', NULL, NULL, NULL, '2024-01-01 00:00:00', NULL, step
+FROM (VALUES ('source/raw_sheets'), ('raw_sheets/stg_sheets'), ('stg_sheets/mart_sheets')) s(step)
 """
 
 QUERIES = {
@@ -567,11 +686,14 @@ QUERIES = {
     "reconcile_repeated_keys": (reconcile_repeated_keys, RECONCILE_REPEATED_KEYS),
     "land_roundtrip": (land_roundtrip, LAND_ROUNDTRIP),
     "export_roundtrip": (export_roundtrip, EXPORT_ROUNDTRIP),
+    "sheet_header_order": (sheet_header_order, SHEET_HEADER_ORDER),
     "odata_pages": (odata_pages, ODATA_PAGES),
+    "odata_bad_pages": (odata_bad_pages, ODATA_BAD_PAGES),
     "tickets_staging": (tickets_staging, TICKETS_STAGING),
     "tickets_mart": (tickets_mart, TICKETS_MART),
     "tickets_layers": (tickets_layers, TICKETS_MART),
     "schedules_bank_mart": (schedules_bank_mart, SCHEDULES_BANK_MART),
+    "schedules_missing_tables": (schedules_missing_tables, SCHEDULES_MISSING_TABLES),
     "schedules_activities_mart": (schedules_activities_mart, SCHEDULES_ACTIVITIES_MART),
     "schedules_deliveries_mart": (schedules_deliveries_mart, SCHEDULES_DELIVERIES_MART),
     "sheets_mart": (sheets_mart, SHEETS_MART),
