@@ -204,6 +204,21 @@ def test_jaccard_join(spark, monkeypatch):
     assert jaccard.join_similar(documents(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_components(spark):
+    """A long path, a star, a ring, loops and repeated edges, against a plain union of sets."""
+    pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 20)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
+    pairs += [(300, 301), (301, 300), (300, 301), (400, 400)]
+    random.Random(3).shuffle(pairs)
+    root = {x: x for pair in pairs for x in pair}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    got = jaccard.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert len(got) == len({r.node for r in got})
+    assert {r.node: r.root for r in got} == {x: y for x, y in root.items() if x != 400}  # a lone loop links nothing
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_pruning_tolerance():
     for n, least in jaccard.least_matches():
         assert 0 <= least <= 0.8 * n
