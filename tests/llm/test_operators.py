@@ -261,6 +261,29 @@ def test_licenses(spark):
     assert len(rows) == len(texts)
 
 
+def test_wrapped_licenses(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    style = "# Copyright 2020 The Authors\n#\n# Use of this source code is governed by a BSD-style\n# license that can be found in the LICENSE file.\n\npackage main"
+    lgpl = " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version."
+    gpl = "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as published by\n// the Free Software Foundation, either version 3 of the License, or\n// (at your option) any later version."
+    mpl = "Some words. This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one elsewhere."
+    plain = [f"Some ordinary words about topic {i} and\nmore of {i * 7}. Another line {i}\n\nand a block {i}" for i in range(60)]
+    texts = [*plain, bsd, style, f"/*\n{lgpl}\n */\nint main;", f"Some heading\n{gpl}", mpl, "Heading\nReleased under the MIT License\nAnother heading\nReleased under the MIT License"]
+    rows = {r.doc_id: r for r in licenses.find_licenses(documents(spark, texts)).collect()}
+    got = [[(n.family, n.line) for n in rows[i].notices] for i in range(60, 66)]
+    assert got == [[("BSD", 0)], [("BSD", 2)], [("LGPL", 1)], [("GPL", 1)], [("MPL-2.0", 0)], [("MIT", 1), ("MIT", 3)]]
+    assert not any(rows[i].notices for i in range(60))
+    assert [rows[i].n_paragraphs for i in (0, 60, 61, 62)] == [2, 1, 3, 2]
+
+
+def test_telling_words():
+    """Candidates without them could not agree with any template."""
+    told = set(licenses.telling_words())
+    for t in sum(licenses.TEMPLATES.values(), []):
+        triples = licenses._triples(t)
+        assert sum(told.isdisjoint(x.split()) for x in triples) < licenses.AGREE * len(triples)
+
+
 # --------------------------------------------------------------------- 9, tokens
 
 
