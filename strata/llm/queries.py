@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import boilerplate, bpe, jaccard, langid, licenses, mixing, pii, repeats, sketch, topk
+from strata.llm import boilerplate, bpe, dialogue, jaccard, langid, licenses, manifest, mixing, pii, repeats, sketch, topk, urls
+from strata.llm.oracle import OP11_SQL, OP13_SQL
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -164,6 +165,41 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged, copies = dialogue.damage(read(spark, sf_dir, "conversations"))
+    return dialogue.judged(damaged, copies)
+
+
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    leaf = lambda text: manifest.leaf(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    built = manifest.build(
+        documents, F.col("lang"), F.col("doc_id"), leaf(F.col("text")),
+        {"doc_id": F.col("doc_id"), "changed": F.unhex(F.when(tampered, leaf(lowered)))},
+    )
+    found = manifest.proofs(built)
+    now = F.coalesce(F.lower(F.hex("changed")), F.col("leaf"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        manifest.fold(now, F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_repeats": (op1_repeats, None),
     "op2_pii": (op2_pii, None),
@@ -175,4 +211,7 @@ QUERIES = {
     "op8_licenses": (op8_licenses, None),
     "op9_bpe": (op9_bpe, None),
     "op10_fingerprints": (op10_fingerprints, None),
+    "op11_dialogue": (op11_dialogue, OP11_SQL),
+    "op12_urls": (op12_urls, None),
+    "op13_manifest": (op13_manifest, OP13_SQL),
 }
