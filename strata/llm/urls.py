@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.support import settle
+from strata.session import scratch_dir
 
 LEAST = 20
 SHARE = 0.01
@@ -128,6 +129,13 @@ def templates(urls: DataFrame) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A small table, written and read again: Spark sees its size, and can divide what joins it."""
+    path = scratch_dir(df.sparkSession, "urls")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _next_level(rows: DataFrame, level: int) -> DataFrame:
     below = rows.filter(F.size("segments") > level)
     children = below.groupBy("host", "template", F.get("segments", F.lit(level)).alias("segment")).agg(
@@ -140,7 +148,7 @@ def _next_level(rows: DataFrame, level: int) -> DataFrame:
     share = F.when(labelled > 0, F.col("bad") / labelled).otherwise(-1.0)
     entry = F.struct(share.alias("share"), (F.col("ends") / F.col("n")).alias("stop"), "segment", "n", "good", "bad", "ends")
     nodes = literal.groupBy("host", "template").agg(F.sort_array(F.collect_list(entry)).alias("children"))
-    nodes = nodes.select("host", "template", _branches(F.col("children")).alias("branches"))
+    nodes = _stored(nodes.select("host", "template", _branches(F.col("children")).alias("branches")))
     joined = rows.join(nodes, ["host", "template"], "left")
     branch = F.coalesce(F.try_element_at("branches", F.get("segments", F.lit(level))), F.lit(WILDCARD))
     grown = F.when(F.size("segments") > level, F.concat("template", F.lit("/"), branch)).otherwise(F.col("template"))
@@ -165,7 +173,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], page_id: str = "p
     counted = counted.withColumn("found", longest_rule(rules, F.col("host"), F.col("path")))
     label = lambda verdict: F.when(F.col("found.verdict") == verdict, F.col("n")).otherwise(F.lit(0).cast("long"))
     rows = templates(counted.select("host", "path", "n", label("allow").alias("good"), label("block").alias("bad")))
-    scored = rows.select("host", "path", "template").join(purities(rows).select("host", "template", "purity"), ["host", "template"])
+    scored = rows.select("host", "path", "template").join(_stored(purities(rows).select("host", "template", "purity")), ["host", "template"])
     found = longest_rule(rules, F.col("host"), F.col("path"))
     own = F.when(F.col("purity") >= LEAST_PURITY, "block").otherwise("allow")
     both = base.join(scored, ["host", "path"]).withColumn("found", found)
