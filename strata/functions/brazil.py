@@ -62,10 +62,14 @@ def number_form(cell: Column) -> Column:
     return F.when(ends_in_digit(cell), form)
 
 
+def number_text_in_form(cell: Column, form: str) -> Column:
+    """Number text with a decimal point only, of a cell that is known to be blank or a number of this form."""
+    return cell if form == "plain" else F.translate(cell, ",.R$" + _SPACES, ".")
+
+
 def number_in_form(cell: Column, form: str, dtype: T.DecimalType = NUMBER) -> Column:
     """Number of a cell that is known to be blank or a number of this form."""
-    text = cell if form == "plain" else F.translate(cell, ",.R$" + _SPACES, ".")
-    return text.try_cast(dtype)
+    return number_text_in_form(cell, form).try_cast(dtype)
 
 
 def cell_number(cell: Column, dtype: T.DecimalType = NUMBER) -> Column:

@@ -75,11 +75,11 @@ def union_relations(
     """Union all relations by column name, with the relation name in ``source_column``.
 
     A column that a relation lacks is NULL there. Columns are ordered by their
-    smallest position in any relation, then by name. Types are widened (whole
-    numbers of 64 bits and floating point become floating point); types that have no
-    common form become text. Numbers that become text get a decimal comma, so that
-    typing reads ``1,234`` back as it was, not as a thousand. No relation at all
-    gives an empty result that has the source column only.
+    smallest position in any relation, then by name. Types are widened; types that no
+    common one holds exactly (64-bit whole numbers and floating point, numbers and text)
+    become text. Numbers that become text get a decimal comma, so that
+    typing reads ``1,234`` back as it was, not as a thousand; ``union_typed`` keeps such columns
+    numeric. No relation at all gives an empty result that has the source column only.
     """
     if not relations:
         return spark.createDataFrame([], T.StructType([T.StructField(source_column, T.StringType())]))
@@ -115,7 +115,10 @@ def merged_schema(schemas: list[T.StructType]) -> T.StructType:
 
 
 def common_type(types: list[T.DataType]) -> T.DataType:
-    """Type that holds the values of all types exactly; text when there is none."""
+    """Type that holds the values of all types exactly; text when there is none.
+
+    Text holds every number with all its digits.
+    """
     distinct = [t for i, t in enumerate(types) if t not in types[:i]]
     if len(distinct) == 1:
         return distinct[0]
@@ -123,8 +126,8 @@ def common_type(types: list[T.DataType]) -> T.DataType:
         return max(distinct, key=_INTEGERS.index)
     if all(isinstance(t, T.DecimalType) or t in _INTEGERS for t in distinct):
         return _common_decimal(distinct) or T.StringType()
-    if all(isinstance(t, (T.FloatType, T.DoubleType)) or t in _INTEGERS for t in distinct):
-        return T.DoubleType()
+    if all(isinstance(t, (T.FloatType, T.DoubleType)) or t in _INTEGERS[:3] for t in distinct):
+        return T.DoubleType()  # holds 32-bit whole numbers exactly, not 64-bit ones
     if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in distinct):
         return T.TimestampNTZType()
     if all(isinstance(t, (T.DateType, T.TimestampType)) for t in distinct):
@@ -132,14 +135,17 @@ def common_type(types: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
+def decimal_digits(dtype: T.DataType) -> tuple[int, int]:
+    """Digits before and after the decimal point of a decimal or whole number type."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision - dtype.scale, dtype.scale
+    return _INTEGER_DIGITS[_INTEGERS.index(dtype)], 0
+
+
 def _common_decimal(types: list[T.DataType]) -> T.DecimalType | None:
-    whole = [
-        t.precision - t.scale if isinstance(t, T.DecimalType) else _INTEGER_DIGITS[_INTEGERS.index(t)]
-        for t in types
-    ]
-    scale = max(t.scale for t in types if isinstance(t, T.DecimalType))
-    precision = max(whole) + scale
-    return T.DecimalType(precision, scale) if precision <= 38 else None
+    digits = [decimal_digits(t) for t in types]
+    whole, scale = max(d[0] for d in digits), max(d[1] for d in digits)
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
 
 
 def _aligned(df: DataFrame, target: T.StructField) -> Column:

@@ -11,14 +11,14 @@ from strata.functions.names import col, layer_db, qualified, split_technical
 from strata.operators.layers import create_database, write_table
 from strata.operators.merge import merge_pairs
 from strata.operators.nullfill import null_fill
-from strata.operators.typing_text import type_columns
+from strata.operators.typed_union import union_typed
+from strata.operators.typing_text import LostCells
 from strata.operators.union import (
     CODE_COLUMN,
     SOURCE_COLUMN,
     discover_codes,
     find_relations,
     source_code,
-    union_relations,
 )
 from strata.session import WRITERS, in_parallel
 
@@ -65,19 +65,21 @@ def staging(
     relations: list[tuple[str, DataFrame]],
     force_numeric: list[str] | None = None,
     merges: list[tuple[str, str, str]] | None = None,
+    lost: LostCells | None = None,
 ) -> DataFrame:
     """Union of the relations with code and origin in front and typed columns behind.
 
-    Columns to force that no relation has are named in a warning. A column without any
-    value is numeric if the one it is to be merged with is.
+    Every relation is read in its own number form. Columns to force that no relation has are
+    named in a warning. A column without any value is numeric if the one it is to be merged with
+    is. ``lost`` counts the cells that typing lets go when the result is written.
     """
-    union = union_relations(spark, relations)
-    technical, business = split_technical([n for n in union.columns if n != SOURCE_COLUMN])
-    forced = [n for n in force_numeric or [] if n in business]
+    present = {n for _, df in relations for n in df.columns}
+    forced = [n for n in force_numeric or [] if n in present]
     if relations and (absent := sorted(set(force_numeric or []) - set(forced))):
         log.warning("no columns %s in %s", ", ".join(absent), ", ".join(name for name, _ in relations))
     pairs = [(first, second) for first, second, _ in merges or []]
-    typed = type_columns(union, force_numeric=forced, keep_text=[SOURCE_COLUMN], partners=pairs)
+    typed = union_typed(spark, relations, force_numeric=forced, partners=pairs, lost=lost)
+    technical, business = split_technical([n for n in typed.columns if n != SOURCE_COLUMN])
     return typed.select(
         source_code(col(SOURCE_COLUMN)).alias(CODE_COLUMN),
         *[col(n) for n in [SOURCE_COLUMN, *technical, *business]],
@@ -123,7 +125,11 @@ def run(
 
     def rebuild(kind: Kind) -> DataFrame:
         relations = find_relations(spark, raw_db, codes, kind.suffix)
-        write_table(staging(spark, relations, kind.force_numeric, kind.merges), stg_db, kind.table)
+        lost = LostCells()
+        write_table(staging(spark, relations, kind.force_numeric, kind.merges, lost), stg_db, kind.table)
+        for column, n in lost.counts().items():
+            if n:
+                log.warning("%s.%s: %d cells of %s are no numbers and became NULL", stg_db, kind.table, n, column)
         stg = spark.table(qualified(stg_db, kind.table))
         write_table(intermediate(stg, kind.merges, strict), int_db, kind.table)
         write_table(mart(spark.table(qualified(int_db, kind.table))), mart_db, kind.table)

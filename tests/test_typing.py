@@ -143,6 +143,68 @@ def test_union_and_typing_keep_values(spark):
     assert sorted(r.v for r in typed.collect()) == [Decimal("1.234"), Decimal(5), Decimal("12.5")]
 
 
+def texts(spark, *cells):
+    return spark.createDataFrame([(c,) for c in cells], "v string")
+
+
+def test_forced_columns_read_each_cell_in_its_form(spark):
+    typed = strata.type_columns(texts(spark, "1,5", "0.75", "R$ -", "12.5", "x", "1.234,5"), force_numeric=["v"])
+    assert [r.v for r in typed.collect()] == [Decimal("1.5"), Decimal("0.75"), None, Decimal("12.5"), None, Decimal("1234.5")]
+    with pytest.raises(ValueError, match="'v'.*either"):
+        strata.type_columns(texts(spark, "1,5", "0.75", "1.234"), force_numeric=["v"])
+    only = strata.type_columns(texts(spark, "1.234", "0.75", "x"), force_numeric=["v"])
+    assert [r.v for r in only.collect()] == [Decimal("1.234"), Decimal("0.75"), None]
+
+
+def values(df):
+    return sorted((r.tabela_origem, r.v) for r in df.collect())
+
+
+def test_each_relation_is_read_in_its_form(spark):
+    typed = spark.createDataFrame([(Decimal("12.500"),)], "v decimal(18,3)")
+    local, plain = texts(spark, "1.234", "-"), texts(spark, "1.234", "3.5")
+    got = strata.union_typed(spark, [("d", typed), ("l", local), ("p", plain), ("z", texts(spark, "", None))])
+    assert isinstance(got.schema["v"].dataType, T.DecimalType)
+    rows = {(a, b) for a, b in ((r.tabela_origem, r.v) for r in got.collect())}
+    assert rows == {("d", Decimal("12.5")), ("l", Decimal(1234)), ("l", None), ("p", Decimal("1.234")), ("p", Decimal("3.5")), ("z", None)}
+    forced = strata.union_typed(spark, [("d", typed), ("p", texts(spark, "7.25", "3.5", "x"))], force_numeric=["v"])
+    assert {(r.tabela_origem, r.v) for r in forced.collect()} == {("d", Decimal("12.5")), ("p", Decimal("7.25")), ("p", Decimal("3.5")), ("p", None)}
+
+
+def test_typed_union_keeps_text_dates_and_digits(spark):
+    mixed = strata.union_typed(spark, [("a", texts(spark, "1,5")), ("b", texts(spark, "word"))])
+    assert values(mixed) == [("a", "1,5"), ("b", "word")]
+    days = strata.union_typed(spark, [("a", texts(spark, "31/12/2024")), ("b", spark.createDataFrame([(date(2024, 1, 2),)], "v date"))])
+    assert values(days) == [("a", date(2024, 12, 31)), ("b", date(2024, 1, 2))]
+    long, double = spark.createDataFrame([(2**53 + 1,)], "v bigint"), spark.createDataFrame([(0.5,), (1e15,)], "v double")
+    wide = strata.union_typed(spark, [("a", long), ("b", double)])
+    assert values(wide) == [("a", Decimal(2**53 + 1)), ("b", Decimal("0.5")), ("b", Decimal(10**15))]
+    assert values(strata.union_relations(spark, [("a", long), ("b", double)])) == [("a", str(2**53 + 1)), ("b", "0,5"), ("b", "1e+15")]
+    floats = strata.union_typed(spark, [("a", double), ("b", texts(spark, "R$ 2,25"))])
+    assert floats.schema["v"].dataType == T.DoubleType() and values(floats)[-1] == ("b", 2.25)
+    with pytest.raises(ValueError, match="floating point"):
+        strata.union_typed(spark, [("a", double), ("b", texts(spark, "1234567890123456,5"))])
+    kept = strata.union_typed(spark, [("a", texts(spark, "007")), ("b", texts(spark, "008"))], keep_text=["v"])
+    assert values(kept) == [("a", "007"), ("b", "008")]
+    assert strata.union_typed(spark, []).columns == ["tabela_origem"]
+    empty = strata.union_typed(spark, [("a", texts(spark, "1")), ("b", texts(spark))])
+    assert values(empty) == [("a", Decimal(1))]
+    with pytest.raises(ValueError, match="no such"):
+        strata.union_typed(spark, [("a", long)], force_numeric=["w"])
+
+
+def test_lost_cells(spark):
+    lost = strata.LostCells()
+    typed = strata.type_columns(texts(spark, "1,5", "10%", "R$ -", "", None, "x"), force_numeric=["v"], lost=lost)
+    typed.write.format("noop").mode("overwrite").save()
+    assert lost.counts() == {"v": 2}
+    lost = strata.LostCells()
+    union = strata.union_typed(spark, [("a", texts(spark, "1", "y")), ("b", texts(spark, "2"))], force_numeric=["v"], lost=lost)
+    union.write.format("noop").mode("overwrite").save()
+    assert {(r.relation, r.column, r.n_lost) for r in lost.frame(spark).collect()} == {("a", "v", 1), ("b", "v", 0)}
+    assert lost.counts() == {"v": 1}
+
+
 def test_named_columns_must_exist(spark):
     with pytest.raises(ValueError, match="V_TYPO"):
         strata.type_columns(spark.createDataFrame([("1",)], "v string"), force_numeric=["V_TYPO"])

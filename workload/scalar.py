@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import strata
 from strata.operators.nullfill import CURRENCY_KEYWORDS
-from workload.inputs import money, table, text_orders, words
+from workload.inputs import amount_text, fresh_db, in_db, money, table, text_orders, words
 
 
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +221,75 @@ FROM lineitem
 """
 
 
+def forced_mixed_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forced column with local amounts, plain amounts, placeholders and words: each amount is read in its own form."""
+    turn, amount = F.col("l_linenumber") % 4, F.col("l_extendedprice").cast("decimal(18,2)")
+    shown = F.when(turn == 0, money(amount)).when(turn == 1, amount.cast("string")).when(turn == 2, "R$ -").otherwise("n/a")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", shown.alias("amount"))
+    typed = strata.type_columns(lines, force_numeric=["amount"])
+    return typed.select("l_orderkey", "l_linenumber", F.round(F.col("amount") * 100).cast("bigint").alias("cents"))
+
+
+FORCED_MIXED_FORMS = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linenumber % 4 < 2 THEN CAST(round(CAST(l_extendedprice AS DECIMAL(18, 2)) * 100) AS BIGINT) END AS cents
+FROM lineitem
+"""
+
+# The first whole number that a double does not hold, less one.
+FAR = 2**53
+
+
+def union_plain_text_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals, plain text and local text in one column, whole numbers of 64 bits and doubles in another: no digit changes."""
+    lines = table(spark, sf_dir, "lineitem")
+    part = lambda flag: lines.filter(F.col("l_returnflag") == flag)
+    amount = F.col("l_extendedprice").cast("decimal(18,2)")
+    key = F.col("l_orderkey")
+    one = part("A").select("l_linenumber", (key + FAR).alias("id"), amount.cast("decimal(18,3)").alias("amount"))
+    two = part("N").select("l_linenumber", (key + 0.5).alias("id"), amount.cast("decimal(18,3)").cast("string").alias("amount"))
+    three = part("R").select("l_linenumber", key.cast("string").alias("id"), money(amount).alias("amount"))
+    typed = strata.union_typed(spark, [("a", one), ("n", two), ("r", three)])
+    digits = F.regexp_replace(F.col("id").cast("string"), r"\.?0+$", "")
+    return typed.select(
+        "tabela_origem", "l_linenumber", F.when(F.col("id") % 10 == 0, F.col("id").cast("bigint").cast("string")).otherwise(digits).alias("id"),
+        F.round(F.col("amount") * 100).cast("bigint").alias("cents"),
+    )
+
+
+UNION_PLAIN_TEXT_TYPED = f"""
+SELECT lower(l_returnflag) AS tabela_origem, l_linenumber,
+       CASE l_returnflag WHEN 'A' THEN CAST(l_orderkey + {FAR} AS VARCHAR) WHEN 'N' THEN l_orderkey || '.5' ELSE CAST(l_orderkey AS VARCHAR) END AS id,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18, 2)) * 100) AS BIGINT) AS cents
+FROM lineitem
+"""
+
+
+def typed_lost_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What typing let go, counted by the job that wrote the rows: words are lost, placeholders and empty cells are not."""
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    local = F.when(priority == "5-LOW", "n/a").when(priority == "1-URGENT", "R$ -").otherwise(money(F.col("o_totalprice")))
+    plain = F.when(status == "P", "10%").when(status == "F", "").otherwise(amount_text(F.col("o_totalprice")))
+    sheet = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_key"), local.alias("local_total"), plain.alias("plain_total")
+    )
+    lost, database = strata.LostCells(), fresh_db(spark, "typed")
+    strata.write_table(strata.type_columns(sheet, force_numeric=["local_total", "plain_total"], lost=lost), database, "orders")
+    names = ["order_key", "local_total", "plain_total"]
+    nulls = in_db(spark, database, "orders").select(*[F.col(n).isNull().cast("bigint").alias(n) for n in names])
+    nulls = nulls.groupBy().agg(*[F.sum(n).alias(n) for n in names]).unpivot([], names, "column", "n_null")
+    return lost.frame(spark).drop("relation").join(nulls, "column").withColumnRenamed("column", "column_name")
+
+
+TYPED_LOST_CELLS = """
+SELECT 'order_key' AS column_name, 0::BIGINT AS n_lost, 0::HUGEINT::BIGINT AS n_null
+UNION ALL
+SELECT 'local_total', count(*) FILTER (o_orderpriority = '5-LOW'), count(*) FILTER (o_orderpriority IN ('5-LOW', '1-URGENT')) FROM orders
+UNION ALL
+SELECT 'plain_total', count(*) FILTER (o_orderstatus = 'P'), count(*) FILTER (o_orderstatus IN ('P', 'F')) FROM orders
+"""
+
+
 def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = strata.type_columns(text_orders(spark, sf_dir), keep_text=["order_key"])
     return typed.select(
@@ -439,6 +508,9 @@ QUERIES = {
     "infer_types": (infer_types, INFER_TYPES),
     "typed_mixed_forms": (typed_mixed_forms, TYPED_MIXED_FORMS),
     "union_mixed_types_typed": (union_mixed_types_typed, UNION_MIXED_TYPES_TYPED),
+    "forced_mixed_forms": (forced_mixed_forms, FORCED_MIXED_FORMS),
+    "union_plain_text_typed": (union_plain_text_typed, UNION_PLAIN_TEXT_TYPED),
+    "typed_lost_cells": (typed_lost_cells, TYPED_LOST_CELLS),
     "typed_projection": (typed_projection, TYPED_PROJECTION),
     "union_relations": (union_relations, UNION_RELATIONS),
     "source_code": (source_code, SOURCE_CODE),
