@@ -12,10 +12,11 @@ from strata.operators.layers import (
     transform_layer,
     write_table,
 )
+from strata.operators.lineage import layer_inventory, layer_lineage, trace_columns
 from strata.operators.merge import merge_pairs
 from strata.operators.nullfill import null_fill
 from strata.operators.profile import latest_profile, profile_layer, record_profile
-from strata.operators.reconcile import reconcile, reconcile_layers
+from strata.operators.reconcile import differing_rows, reconcile, reconcile_layers
 from strata.operators.typed_union import union_typed
 from strata.operators.typing_text import LostCells, apply_types, infer_types, type_columns
 from strata.operators.union import (
@@ -31,11 +32,11 @@ from strata.sources.relational import read_relational, write_relational
 from strata.sources.sheets import export_layer, read_sheet, write_sheet
 
 __all__ = [
-    "LostCells", "apply_types", "copy_layer", "create_database", "discover_codes", "distinct_codes",
-    "export_layer", "find_relations", "infer_types", "json_array_join", "json_field", "land",
-    "latest_profile", "layer_db", "list_tables", "merge_pairs", "null_fill", "parse_date",
-    "parse_number", "profile_layer", "q", "read_pages", "read_relational", "read_sheet",
-    "reconcile", "reconcile_layers", "record_profile", "resolve_db", "run_log", "source_code",
-    "strip_enum_prefix", "strip_html", "transform_layer", "type_columns", "union_relations", "union_typed",
-    "write_relational", "write_sheet", "write_table",
+    "LostCells", "apply_types", "copy_layer", "create_database", "differing_rows", "discover_codes",
+    "distinct_codes", "export_layer", "find_relations", "infer_types", "json_array_join", "json_field",
+    "land", "latest_profile", "layer_db", "layer_inventory", "layer_lineage", "list_tables",
+    "merge_pairs", "null_fill", "parse_date", "parse_number", "profile_layer", "q", "read_pages",
+    "read_relational", "read_sheet", "reconcile", "reconcile_layers", "record_profile", "resolve_db",
+    "run_log", "source_code", "strip_enum_prefix", "strip_html", "trace_columns", "transform_layer",
+    "type_columns", "union_relations", "union_typed", "write_relational", "write_sheet", "write_table",
 ]

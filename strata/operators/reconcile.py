@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +11,6 @@ from strata.functions.names import RAW_ID, check_case_collisions, col, family, q
 from strata.operators.layers import list_tables
 from strata.operators.union import union_all
 
-log = logging.getLogger(__name__)
-
 _SOURCE, _TARGET = 1, 2
 
 # How many columns share one mask of NULLs.
@@ -125,6 +121,75 @@ def _comparable(df: DataFrame, other: DataFrame, name: str) -> Column:
     return number_text(value, dtype) if family(dtype) == "number" else value.cast("string")
 
 
+def differing_rows(source: DataFrame, target: DataFrame, key: str = RAW_ID) -> DataFrame:
+    """The differences themselves: ``key, column_name, kind, old_value, new_value``.
+
+    A row for each value that differs between two rows of one key: ``changed``, ``filled`` (NULL
+    in the source only) or ``cleared`` (NULL in the target only). A key on one side only gives one row,
+    ``missing`` (in the target) or ``extra``; a key that is NULL or stands twice on one side
+    gives one row ``unpaired``, as its rows cannot be told apart. Values are text.
+
+    First only keys and 128-bit digests of the rows meet, grouped, so that a hot key collapses in
+    the partial aggregate. Whole rows move only for the keys whose digests differ, which are
+    unique on both sides.
+    """
+    check_case_collisions(source.columns)
+    check_case_collisions(target.columns)
+    if key not in source.columns or key not in target.columns:
+        raise ValueError(f"key {key!r} is missing on one side")
+    shared = [n for n in source.columns if n in target.columns and n != key]
+    if not shared:
+        raise ValueError("no shared column to compare")
+    sides = _digests(source, target, key, shared, _SOURCE).unionAll(_digests(target, source, key, shared, _TARGET))
+    # The exclusive or of the digests of two equal rows is zero.
+    keys = sides.groupBy("key").agg(F.sum("in_source").alias("ns"), F.sum("in_target").alias("nt"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    kind = (
+        F.when(F.col("key").isNull() | (F.col("ns") > 1) | (F.col("nt") > 1), "unpaired")
+        .when(F.col("nt") == 0, "missing").when(F.col("ns") == 0, "extra")
+        .when((F.col("a") != 0) | (F.col("b") != 0), "both")
+    )
+    found = keys.select("key", kind.alias("kind")).filter("kind IS NOT NULL")
+    text = F.lit(None).cast("string")
+    alone = found.filter("kind <> 'both'").select(
+        F.col("key").cast("string").alias("key"), text.alias("column_name"), "kind", text.alias("old_value"), text.alias("new_value")
+    )
+    wanted = found.filter("kind = 'both'").select("key")
+    old, new = (_values(a, b, key, shared, wanted) for a, b in ((source, target), (target, source)))
+    pairs = old.join(new.withColumnRenamed("row", "new"), "key").select(
+        F.col("key").cast("string").alias("key"),
+        F.posexplode(F.arrays_zip(F.col("row").alias("old_value"), F.col("new").alias("new_value"))).alias("at", "both"),
+    )
+    names = F.array(*[F.lit(n) for n in shared])
+    changed = pairs.select("key", F.get(names, F.col("at")).alias("column_name"), "both.*").filter(
+        ~F.col("old_value").eqNullSafe(F.col("new_value"))
+    )
+    kinds = F.when(F.col("old_value").isNull(), "filled").when(F.col("new_value").isNull(), "cleared").otherwise("changed")
+    return changed.select("key", "column_name", kinds.alias("kind"), "old_value", "new_value").unionAll(alone)
+
+
+def _digests(df: DataFrame, other: DataFrame, key: str, names: list[str], side: int) -> DataFrame:
+    values = [_comparable(df, other, n) for n in names]
+    parts = [x for v in values for x in (v.isNull(), v)]  # a hash leaves NULLs out
+    return df.select(
+        _comparable(df, other, key).alias("key"), F.lit(int(side == _SOURCE)).cast("bigint").alias("in_source"),
+        F.lit(int(side == _TARGET)).cast("bigint").alias("in_target"), F.xxhash64(*parts).alias("a"),
+        F.xxhash64(F.lit(1), *parts).alias("b"),
+    )
+
+
+def _values(df: DataFrame, other: DataFrame, key: str, names: list[str], wanted: DataFrame) -> DataFrame:
+    """Key and all values as text, of the wanted keys."""
+
+    def shown(name: str) -> Column:
+        dtype = df.schema[name].dataType
+        if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+            return F.to_json(col(name))
+        return number_text(col(name), dtype) if family(dtype) == "number" else col(name).cast("string")
+
+    rows = df.select(_comparable(df, other, key).alias("key"), F.array(*[shown(n) for n in names]).alias("row"))
+    return rows.join(wanted, "key", "left_semi")
+
+
 def reconcile_layers(
     spark: SparkSession,
     source_db: str,
@@ -132,21 +197,42 @@ def reconcile_layers(
     key: str = RAW_ID,
     exclude: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
-    """``reconcile`` for every table that both databases hold under the same name.
+    """``reconcile`` for every table of two databases.
 
-    Tables present in one database only are left out. Tables without the key, as
-    run logs, are skipped with a warning. Nothing to compare is an error.
+    A table that only one of them holds has a row for each column, with all its rows
+    ``missing`` or ``extra``. The rows of a table without the key, such as a run log, are
+    ``unpaired``. No table in common is an error.
     """
-    in_target = set(list_tables(spark, target_db, exclude))
-    parts = []
-    for table in list_tables(spark, source_db, exclude):
-        if table not in in_target:
-            continue
-        source, target = [spark.table(qualified(db, table)) for db in (source_db, target_db)]
-        if key in source.columns and key in target.columns:
-            parts.append(reconcile(source, target, key, table))
+    tables = {db: list_tables(spark, db, exclude) for db in (source_db, target_db)}
+    read = lambda db, t: spark.table(qualified(db, t)) if t in tables[db] else None
+    parts, compared = [], 0
+    for name in sorted({*tables[source_db], *tables[target_db]}):
+        source, target = read(source_db, name), read(target_db, name)
+        sides = [df for df in (source, target) if df is not None]
+        others = [n for n in sides[0].columns if n != key and all(n in df.columns for df in sides)]
+        if len(sides) == 2 and others and all(key in df.columns for df in sides):
+            parts.append(reconcile(source, target, key, name))
+            compared += 1
         else:
-            log.warning("table %s has no %s, skipped", table, key)
-    if not parts:
+            parts.append(_uncompared(source, target, name))
+    if not compared:
         raise ValueError(f"{source_db!r} and {target_db!r} have no table in common with {key!r}")
     return union_all(parts)
+
+
+def _uncompared(source: DataFrame | None, target: DataFrame | None, table: str) -> DataFrame:
+    """The rows of ``reconcile`` for a table of one layer only, or without a key: its rows are counted, not compared."""
+    count = lambda df: F.lit(0).cast("bigint").alias("n") if df is None else F.count(F.lit(1)).alias("n")
+    one_sided = source is None or target is None
+    counts = [df.agg(count(df)).withColumn("side", F.lit(side)) for side, df in ((_SOURCE, source), (_TARGET, target)) if df is not None]
+    of = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n"))), F.lit(0)).cast("bigint")
+    names = dict.fromkeys(n for df in (source, target) if df is not None for n in df.columns)
+    none = F.lit(0).cast("bigint")
+    sums = union_all(counts).agg(of(_SOURCE).alias("ns"), of(_TARGET).alias("nt"))
+    rows = sums.select("*", F.explode(F.array(*[F.lit(n) for n in names])).alias("column_name"))
+    part = lambda n, here: (F.col(n) if here else none)
+    return rows.select(
+        F.lit(table).alias("table_name"), "column_name", none.alias("matched"), none.alias("changed"), none.alias("null_filled"),
+        part("ns", one_sided).alias("missing"), part("nt", one_sided).alias("extra"),
+        part("ns", not one_sided).alias("unpaired_source"), part("nt", not one_sided).alias("unpaired_target"),
+    )

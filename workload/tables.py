@@ -268,6 +268,82 @@ RECONCILE_REPEATED_KEYS = (
 )
 
 
+def reconcile_differing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that differ between orders and an altered copy, old beside new."""
+    orders = table(spark, sf_dir, "orders")
+    before = orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("O")))
+    return strata.differing_rows(before, _altered_orders(spark, sf_dir), key="o_orderkey")
+
+
+def _differing_sql(column: str) -> str:
+    shown = lambda side: f"regexp_replace(CAST({side}.{column} AS VARCHAR), '\\.0$', '')"
+    return f"""
+SELECT CAST(a.o_orderkey AS VARCHAR) AS key, '{column}' AS column_name,
+       CASE WHEN a.{column} IS NULL THEN 'filled' WHEN b.{column} IS NULL THEN 'cleared' ELSE 'changed' END AS kind,
+       {shown("a")} AS old_value, {shown("b")} AS new_value
+FROM ({ORDERS_BEFORE}) a JOIN ({ORDERS_AFTER}) b ON a.o_orderkey = b.o_orderkey WHERE a.{column} IS DISTINCT FROM b.{column}
+"""
+
+
+_COMPARED = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+RECONCILE_DIFFERING_ROWS = " UNION ALL ".join(_differing_sql(c) for c in _COMPARED) + f"""
+UNION ALL
+SELECT CAST(coalesce(a.o_orderkey, b.o_orderkey) AS VARCHAR), NULL, CASE WHEN b.o_orderkey IS NULL THEN 'missing' ELSE 'extra' END, NULL, NULL
+FROM ({ORDERS_BEFORE}) a FULL OUTER JOIN ({ORDERS_AFTER}) b ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL
+"""
+
+
+def layer_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of two layers: one renamed, two pairs merged, one table on each side alone, all with their filled values."""
+    before, after = fresh_db(spark, "before"), fresh_db(spark, "after")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    pairs = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(status != "F", priority).alias("_LEVEL_"), F.when(status != "O", priority).alias("LEVEL"),
+        F.col("o_totalprice").alias("price"), status.alias("dropped"),
+    )
+    strata.write_table(pairs, before, "orders")
+    strata.write_table(table(spark, sf_dir, "supplier"), before, "supplier")
+    strata.write_table(table(spark, sf_dir, "nation"), before, "nation")
+    merged = strata.merge_pairs(in_db(spark, before, "orders"), [("_LEVEL_", "LEVEL", "level.")])
+    plan = merged.drop("dropped").withColumnRenamed("o_orderkey", "order_id").withColumn("source", F.lit("orders"))
+    strata.write_table(plan, after, "orders")
+    strata.write_table(table(spark, sf_dir, "customer"), after, "customer")
+    strata.write_table(table(spark, sf_dir, "nation").drop("n_regionkey"), after, "nation")
+    return strata.layer_lineage(spark, before, after, {"orders": plan}, counts=True)
+
+
+def _alone_sql(side: str, name: str, columns: dict[str, str]) -> str:
+    here = lambda c, t: f"'{name}', '{c}', '{t}'"
+    none = "NULL, NULL, NULL"
+    rows = lambda c: f"count(*), count({c}), NULL, NULL" if side == "source" else f"NULL, NULL, count(*), count({c})"
+    both = lambda c, t: f"{here(c, t)}, {none}" if side == "source" else f"{none}, {here(c, t)}"
+    return " UNION ALL ".join(f"SELECT {both(c, t)}, '{side}_only', {rows(c)} FROM {name}" for c, t in columns.items())
+
+
+LAYER_LINEAGE = f"""
+WITH o AS (
+  SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS a,
+         CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END AS b, o_totalprice AS price, o_orderstatus AS dropped
+  FROM orders)
+SELECT 'orders' AS source_table, 'o_orderkey' AS source_column, 'bigint' AS source_type, 'orders' AS target_table,
+       'order_id' AS target_column, 'bigint' AS target_type, 'renamed' AS relation, count(*) AS source_rows,
+       count(o_orderkey) AS source_filled, count(*) AS target_rows, count(o_orderkey) AS target_filled FROM o
+UNION ALL SELECT 'orders', '_LEVEL_', 'string', 'orders', 'level.', 'string', 'merged', count(*), count(a), count(*), count(coalesce(a, b)) FROM o
+UNION ALL SELECT 'orders', 'LEVEL', 'string', 'orders', 'level.', 'string', 'merged', count(*), count(b), count(*), count(coalesce(a, b)) FROM o
+UNION ALL SELECT 'orders', 'price', 'double', 'orders', 'price', 'double', 'same', count(*), count(price), count(*), count(price) FROM o
+UNION ALL SELECT 'orders', 'dropped', 'string', NULL, NULL, NULL, 'source_only', count(*), count(dropped), NULL, NULL FROM o
+UNION ALL SELECT NULL, NULL, NULL, 'orders', 'source', 'string', 'target_only', NULL, NULL, count(*), count(*) FROM o
+UNION ALL SELECT 'nation', 'n_nationkey', 'int', 'nation', 'n_nationkey', 'int', 'same', count(*), count(*), count(*), count(*) FROM nation
+UNION ALL SELECT 'nation', 'n_name', 'string', 'nation', 'n_name', 'string', 'same', count(*), count(*), count(*), count(*) FROM nation
+UNION ALL SELECT 'nation', 'n_regionkey', 'int', NULL, NULL, NULL, 'source_only', count(*), count(*), NULL, NULL FROM nation
+UNION ALL {_alone_sql("source", "supplier", {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"})}
+UNION ALL {_alone_sql("target", "customer", {
+    "c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"
+})}
+"""
+
+
 def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, database = scratch_dir(spark, "tabs"), fresh_db(spark, "raw")
     customers = table(spark, sf_dir, "customer")
@@ -684,6 +760,8 @@ QUERIES = {
     "layer_profile": (layer_profile, LAYER_PROFILE),
     "layer_reconcile": (layer_reconcile, LAYER_RECONCILE),
     "reconcile_repeated_keys": (reconcile_repeated_keys, RECONCILE_REPEATED_KEYS),
+    "reconcile_differing_rows": (reconcile_differing_rows, RECONCILE_DIFFERING_ROWS),
+    "layer_lineage": (layer_lineage, LAYER_LINEAGE),
     "land_roundtrip": (land_roundtrip, LAND_ROUNDTRIP),
     "export_roundtrip": (export_roundtrip, EXPORT_ROUNDTRIP),
     "sheet_header_order": (sheet_header_order, SHEET_HEADER_ORDER),
