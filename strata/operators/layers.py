@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import re
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -15,6 +17,11 @@ from strata.session import WRITERS, in_parallel
 
 log = logging.getLogger(__name__)
 
+# Marks a view that stands for a table, see ``write_table``.
+POINTER = "strata.pointer"
+# How long a replaced folder stays for those who still read it.
+GRACE_HOURS = 24.0
+
 # The columns of the run log.
 RUN_AT, RUN_SOURCE, RUN_TARGET = "execucao_at", "schema_origem", "schema_destino"
 
@@ -27,40 +34,36 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def list_tables(spark: SparkSession, database: str, exclude: tuple[str, ...] | list[str] = ()) -> list[str]:
-    """Sorted names of the base tables of a database, without the excluded ones."""
+    """Sorted names of the tables of a database, without the excluded ones.
+
+    Tables are base tables and what ``write_table`` has written; other views are none.
+    """
     hidden = {n.lower() for n in exclude}
-    return sorted(
-        t.name
-        for t in spark.catalog.listTables(database)
-        if t.tableType not in ("VIEW", "TEMPORARY") and t.name.lower() not in hidden
-    )
+    shown = spark.sql(f"SHOW TABLE EXTENDED IN {q(database)} LIKE '*'").filter("NOT isTemporary").select("tableName", "information").collect()
+    is_table = lambda text: "Type: VIEW" not in text or f"{POINTER}=true" in text
+    return sorted(r.tableName for r in shown if is_table(r.information) and r.tableName.lower() not in hidden)
 
 
-def write_table(df: DataFrame, database: str, table: str) -> str:
+def write_table(df: DataFrame, database: str, table: str, grace_hours: float = GRACE_HOURS) -> str:
     """Replace a table by the rows of ``df``.
 
-    The rows go to a fresh folder of the database; then the table is pointed to it by one
-    change of metadata, and the old folder is removed. The old table stays readable until
-    then, ``df`` may read the table it replaces, and a killed driver leaves either the old
-    or the new rows under the name, and at most a folder that no table points to. Only when
-    the columns change, which a catalog table cannot do in place, is the table dropped and
-    created anew; its rows stay in their folders in between.
+    The rows go to a fresh folder of the database, and the table is a pointer to one folder: a
+    view of its files, which a single change of metadata moves, whether or not the
+    columns change. So there is no moment without the table or with rows of both writes, ``df`` may
+    read the table it replaces, and a driver that is killed leaves either the old or the new
+    rows, and at most a folder that no table points to.
+
+    Readers that are still at work on the old rows finish: folders that no table points to are
+    removed by a later write of the same table, when they are older than ``grace_hours``. Set
+    that above the longest read and write. Only a base table of that name which something else has made
+    is dropped first, once.
     """
     spark = df.sparkSession
-    final = qualified(database, table)
-    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    root = _root(spark, database)
     path = f"{root}/{table.lower()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    columns = [(f.name, f.dataType) for f in df.schema.fields]
-    old = table_location(spark, database, table)
-    if old is not None and [(f.name, f.dataType) for f in spark.table(final).schema.fields] == columns:
-        spark.sql(f"ALTER TABLE {final} SET LOCATION '{_quoted(path)}'")
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {final}")
-        spark.catalog.createTable(final, path=path, source="parquet", schema=df.schema)
-    spark.catalog.refreshTable(final)
-    if old is not None and old.rstrip("/").startswith(f"{root}/"):
-        remove_folder(spark, old)
+    _point(spark, database, table, path, table_location(spark, database, table))
+    sweep_folders(spark, database, table, grace_hours)
     return table
 
 
@@ -68,13 +71,49 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def _root(spark: SparkSession, database: str) -> str:
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
+def _point(spark: SparkSession, database: str, table: str, path: str, old: str | None) -> None:
+    """Let a table show the rows of a folder."""
+    name, rows = qualified(database, table), f"SELECT * FROM parquet.{q(path)}"
+    if old is not None and _is_pointer(spark, database, table):
+        spark.sql(f"ALTER VIEW {name} AS {rows}")
+        return
+    if old is not None:
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE VIEW {name} TBLPROPERTIES ('{POINTER}' = 'true') AS {rows}")
+
+
+def _is_pointer(spark: SparkSession, database: str, table: str) -> bool:
+    shown = spark.sql(f"SHOW TBLPROPERTIES {qualified(database, table)}").filter(F.col("key") == POINTER)
+    return shown.count() > 0
+
+
+def sweep_folders(spark: SparkSession, database: str, table: str, grace_hours: float = GRACE_HOURS) -> list[str]:
+    """Remove the folders that earlier writes of a table have left, if they are older than the grace period."""
+    root, current = _root(spark, database), table_location(spark, database, table)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    oldest = (time.time() - grace_hours * 3600) * 1000
+    removed = []
+    for status in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder):
+        name = status.getPath().getName()
+        left = re.fullmatch(re.escape(table.lower()) + "-[0-9a-f]{32}", name) and not (current or "").endswith(f"/{name}")
+        if left and status.getModificationTime() <= oldest:
+            remove_folder(spark, status.getPath().toString())
+            removed.append(name)
+    return removed
+
+
 def table_location(spark: SparkSession, database: str, table: str) -> str | None:
-    """The folder of a table; None if there is no such table."""
+    """The folder of a table; None if there is no such table, or a view of something else."""
     name = qualified(database, table)
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[0].data_type if rows else None
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    shown = re.fullmatch(r"SELECT \* FROM parquet\.`(.*)`", rows.get("View Text", ""), re.DOTALL)
+    return shown.group(1).replace("``", "`") if shown else rows.get("Location")
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

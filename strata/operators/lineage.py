@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.names import col, qualified
-from strata.operators.layers import list_tables
+from strata.operators.layers import POINTER, list_tables
 from strata.operators.union import union_all
 
 
@@ -63,6 +63,10 @@ def _follow(plan, origins: dict[int, set[Origin]]) -> None:
             database = name.database().get() if name.database().isDefined() else ""
             origins.update({a.exprId().id(): {Origin(database, name.table(), a.name())} for a in output})
         return
+    if _kind(plan) == "View" and plan.desc().properties().contains(POINTER):  # a table that was written by write_table
+        name = plan.desc().identifier()
+        origins.update({a.exprId().id(): {Origin(name.database().get(), name.table(), a.name())} for a in output})
+        return
     if _kind(plan) == "Union":
         sides = [[a.exprId().id() for a in _items(c.output())] for c in children]
         origins.update({a.exprId().id(): of([side[i] for side in sides]) for i, a in enumerate(output)})

@@ -310,11 +310,65 @@ def test_swap_keeps_rows_when_it_stops(spark, source, monkeypatch):
     assert table(spark, source, "other").count() == 1
     monkeypatch.setattr(layers, "remove_folder", stop)
     with pytest.raises(RuntimeError):
-        strata.write_table(table(spark, source, "other").limit(0), source, "other")
+        strata.write_table(table(spark, source, "other").limit(0), source, "other", grace_hours=0)
     monkeypatch.undo()
     assert table(spark, source, "other").count() == 0
 
 
+@pytest.mark.parametrize("step", ["parquet", "table_location", "_point", "sweep_folders"])
+def test_killed_at_any_step(spark, source, monkeypatch, step):
+    """With other columns too there is either the old table or the new one, and a later write tidies up."""
+    from strata.operators import layers
+
+    old = [tuple(r) for r in table(spark, source, "costs").collect()]
+    new = spark.createDataFrame([(1.5, "x")], "n double, `other.` string")
+
+    def stop(*_):
+        raise RuntimeError("stop")
+
+    if step == "parquet":  # some files are written, but not all
+        broken = new.select(F.raise_error(F.lit("stop")).cast("int").alias("n"))
+        with pytest.raises(Exception, match="stop"):
+            strata.write_table(broken, source, "costs")
+    else:
+        monkeypatch.setattr(layers, step, stop)
+        with pytest.raises(RuntimeError):
+            strata.write_table(new, source, "costs")
+        monkeypatch.undo()
+    now = table(spark, source, "costs")
+    if step == "sweep_folders":
+        assert (now.columns, [tuple(r) for r in now.collect()]) == (["n", "other."], [(1.5, "x")])
+    else:
+        assert [tuple(r) for r in now.collect()] == old
+    strata.write_table(new, source, "costs", grace_hours=0)
+    root = Path(urlparse(table_location(spark, source, "costs")).path).parent
+    assert len([p for p in root.iterdir() if p.name.startswith("costs-")]) == 1
+    assert strata.list_tables(spark, source) == ["costs", "other"]
+
+
+def test_open_readers_finish(spark, source):
+    """Replacing a table by other columns leaves those who read it their rows; the grace period keeps the files."""
+    strata.write_table(spark.range(0, 5000, 1, 8).toDF("k"), source, "long")
+    reader = table(spark, source, "long")
+    rows = reader.toLocalIterator()
+    seen = [next(rows).k]
+    strata.write_table(spark.createDataFrame([("z",)], "other string"), source, "long")
+    seen += [r.k for r in rows]
+    assert sorted(seen) == list(range(5000)) and reader.count() == 5000
+    assert [tuple(r) for r in table(spark, source, "long").collect()] == [("z",)]
+    strata.write_table(spark.createDataFrame([("y",)], "other string"), source, "long", grace_hours=0)
+    with pytest.raises(Exception):
+        reader.count()
+
+
+def test_a_table_made_by_others_is_replaced(spark, source):
+    spark.createDataFrame([(1,)], "a int").write.saveAsTable(f"{source}.made")
+    strata.write_table(spark.createDataFrame([("x",)], "b string"), source, "made")
+    strata.write_table(spark.createDataFrame([(2,)], "c int"), source, "made")
+    assert [tuple(r) for r in table(spark, source, "made").collect()] == [(2,)]
+    assert "made" in strata.list_tables(spark, source)
+
+
 def test_relational_options(spark, monkeypatch):
     from strata.sources import relational as source
 
@@ -338,7 +392,7 @@ def test_relational_options(spark, monkeypatch):
     class Session:
         read = Reader()
 
-    source.read_relational(Session(), "jdbc:x", "t", "id", 10, {"user": "u"})
+    source.read_relational(Session(), "jdbc:x", "t", "id", 10, {"user": "u"}, split="even")
     assert "min(id)" in calls[0]["query"]
     assert calls[1]["dbtable"] == "t" and calls[1]["user"] == "u"
     assert (calls[1]["lowerBound"], calls[1]["upperBound"], calls[1]["numPartitions"]) == ("1", "100", "10")
@@ -347,6 +401,100 @@ def test_relational_options(spark, monkeypatch):
     assert len(calls) == 1 and "partitionColumn" not in calls[0]
 
 
+def test_balanced_ranges(spark):
+    """Ranges end where the rows add up; every value is in one range, and rows without a value in the first."""
+    from strata.sources.relational import balanced_ends, range_predicates
+
+    rows = [1] * 10 + [2] * 10 + list(range(1000, 1080)) + [100_000, None]
+    known = [r for r in rows if r is not None]
+    low, high, cells = min(known), max(known), 64 * 4
+    counts = {}
+    for r in known:
+        cell = int((r - low) * cells / (high - low + 1))
+        counts[cell] = counts.get(cell, 0) + 1
+    predicates = range_predicates("id", balanced_ends(counts, low, high, cells, 4))
+    df = spark.createDataFrame([(r,) for r in rows], "id long")
+    parts = [df.filter(p).count() for p in predicates]
+    assert sum(parts) == len(rows) and len(predicates) >= 2
+    even = spark.createDataFrame([(i,) for i in range(10_000)], "id long")
+    ends = balanced_ends({c: 10_000 // 256 for c in range(256)}, 0, 9999, 256, 4)
+    assert [round(e) for e in ends] == [2500, 5000, 7500]
+    assert [even.filter(p).count() for p in range_predicates("id", ends)] == [2500] * 4
+    assert balanced_ends({0: 5}, 7, 7, 256, 4) == [] and range_predicates("id", []) == []
+
+
+def test_balanced_reading_asks_for_a_histogram(spark, monkeypatch):
+    from strata.sources import relational as source
+
+    calls, read = [], {}
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            calls.append(options)
+            return self
+
+        def load(self):
+            return self
+
+        def first(self):
+            return (0, 99)
+
+        def collect(self):
+            return [(i, 10 if i < 64 else 1) for i in range(128)]
+
+        def jdbc(self, url, table, predicates, properties):
+            read.update(url=url, table=table, predicates=predicates, properties=properties)
+
+    class Session:
+        read = Reader()
+
+    source.read_relational(Session(), "jdbc:x", "t", "id", 2, {"user": "u"})
+    assert "GROUP BY floor((id - (0)) * 128.0" in calls[1]["query"]
+    assert len(read["predicates"]) == 2 and "IS NULL" in read["predicates"][0] and read["properties"]["user"] == "u"
+    with pytest.raises(ValueError, match="balanced"):
+        source.read_relational(Session(), "jdbc:x", "t", "id", split="odd")
+
+
+def test_names_that_are_data_are_refused(spark):
+    path = scratch_dir(spark, "wide-pages")
+    keys = F.to_json(F.map_from_arrays(F.array(F.concat(F.lit("k"), F.col("id"))), F.array(F.col("id"))))
+    page = F.concat(F.lit('{"value":['), keys, F.lit("]}"))
+    spark.range(1_000_000).select(page.alias("value")).write.text(path)
+    with pytest.raises(ValueError, match="more than 2000 different fields, such as k"):
+        strata.read_pages(spark, path)
+    one = scratch_dir(spark, "wide-page")
+    wide = '{"value":[{' + ",".join(f'"f{i}":{i}' for i in range(50)) + "}]}"
+    spark.createDataFrame([(wide,)], "value string").write.text(one)
+    assert len(strata.read_pages(spark, one).columns) == 50
+    with pytest.raises(Exception, match="more than 40 fields, among them f0"):
+        strata.read_pages(spark, one, most_fields=40)
+
+
+def test_header_groups(spark):
+    from strata.sources.sheets import header_groups
+
+    path = scratch_dir(spark, "groups")
+    lines = lambda *rows: spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1)
+    lines("x,y", "1,2").write.text(f"{path}/a")
+    lines("y,x", "20,10", "21,11").write.text(f"{path}/b")
+    lines('z,"x"', '"a,b",3').write.option("compression", "gzip").text(f"{path}/c")
+    lines("x,y").write.text(f"{path}/d")  # a header alone
+    spark.createDataFrame([], "value string").write.text(f"{path}/e")  # no header
+    lines("x,y", "7,8").write.text(f"{path}/_hidden")
+    assert sorted(len(f) for f in header_groups(spark, path).values()) == [1, 1, 2]
+    got = strata.read_sheet(spark, path, by_name=True)
+    assert got.columns == ["x", "y", "z"]
+    assert {(r.x, r.y, r.z) for r in got.collect()} == {("1", "2", None), ("10", "20", None), ("11", "21", None), ("3", None, "a,b")}
+    assert strata.read_sheet(spark, [f"{path}/a", f"{path}/d"], by_name=True).count() == 1
+    with pytest.raises(ValueError, match="no file with a header"):
+        strata.read_sheet(spark, f"{path}/e", by_name=True)
+    with pytest.raises(ValueError, match="no such path"):
+        strata.read_sheet(spark, f"{path}/none", by_name=True)
+
+
 def test_scratch_dir_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(base)

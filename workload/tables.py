@@ -394,21 +394,79 @@ def sheet_header_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, customers = scratch_dir(spark, "tabs"), table(spark, sf_dir, "customer")
     names, tabs = customers.columns, []
     stored = customers.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
-    for i, segment in enumerate(SEGMENTS):
+    segments = sorted(r[0] for r in customers.select("c_mktsegment").distinct().collect())
+    for i, segment in enumerate(segments):
         path = f"{folder}/{segment.lower()}"
-        rows = stored.filter(F.col("c_mktsegment") == segment)
-        strata.write_sheet(rows.select(names[i:] + names[:i]), path)
+        rows, turn = stored.filter(F.col("c_mktsegment") == segment), i % len(names)
+        strata.write_sheet(rows.select(names[turn:] + names[:turn]), path)
         tabs.append((segment, strata.read_sheet(spark, path)))
     return strata.union_relations(spark, tabs)
 
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-SHEET_HEADER_ORDER = f"""
+SHEET_HEADER_ORDER = """
 SELECT c_mktsegment AS tabela_origem, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
        CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
-FROM customer WHERE c_mktsegment IN ({", ".join(f"'{s}'" for s in SEGMENTS)})
+FROM customer
+"""
+
+
+def sheet_header_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as tabs in five orders of columns, one of which lacks a column, read by one call."""
+    folder, customers = scratch_dir(spark, "groups"), table(spark, sf_dir, "customer")
+    names = customers.columns
+    stored = customers.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
+    for i in range(5):
+        order = [n for n in names[i:] + names[:i] if i or n != "c_mktsegment"]
+        strata.write_sheet(stored.filter(F.col("c_nationkey") % 5 == i).select(order), f"{folder}/{i}")
+    return strata.read_sheet(spark, folder, by_name=True)
+
+
+SHEET_HEADER_GROUPS = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS VARCHAR) AS c_acctbal,
+       CASE WHEN c_nationkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment
+FROM customer
+"""
+
+
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is replaced by other columns while it is read: the reader sees the old rows, the next one the new."""
+    database, lines = fresh_db(spark, "replaced"), table(spark, sf_dir, "lineitem")
+    strata.write_table(lines.select("l_orderkey", "l_linenumber", "l_quantity"), database, "lines")
+    before = in_db(spark, database, "lines").groupBy("l_linenumber").agg(F.sum("l_quantity").alias("total"))
+    strata.write_table(
+        in_db(spark, database, "lines").filter("l_quantity > 25").select(F.col("l_linenumber").alias("line"), (F.col("l_quantity") * 2).alias("double")),
+        database, "lines",
+    )
+    after = in_db(spark, database, "lines").groupBy(F.col("line").alias("l_linenumber")).agg(F.sum("double").alias("total"))
+    return before.withColumn("seen", F.lit("before")).unionAll(after.withColumn("seen", F.lit("after")))
+
+
+REPLACED_TABLE = """
+SELECT l_linenumber, sum(l_quantity) AS total, 'before' AS seen FROM lineitem GROUP BY ALL
+UNION ALL
+SELECT l_linenumber, sum(l_quantity * 2), 'after' FROM lineitem WHERE l_quantity > 25 GROUP BY ALL
+"""
+
+
+def odata_found_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without a schema: all fields of all entities are found, each as text."""
+    folder = scratch_dir(spark, "pages")
+    status = F.col("o_orderstatus")
+    entity = F.struct(
+        F.col("o_orderkey").alias("Id"), F.when(status != "F", status).alias("Status"),
+        F.when(status == "P", F.struct(F.col("o_custkey").alias("Customer"))).alias("Detail"),
+    )
+    page = F.to_json(F.struct(F.array(entity).alias("value")))
+    table(spark, sf_dir, "orders").select(page.alias("page")).write.text(folder)
+    return strata.read_pages(spark, folder)
+
+
+ODATA_FOUND_FIELDS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS Id, nullif(o_orderstatus, 'F') AS Status,
+       CASE WHEN o_orderstatus = 'P' THEN '{"Customer":' || o_custkey || '}' END AS Detail
+FROM orders
 """
 
 
@@ -583,11 +641,11 @@ def schedules_missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = money(F.col("o_totalprice")).alias("Valor_entregue__Cliente_")
     subject = fresh_subject(spark, "schedules", ("raw", "stg", "int", "mart"))
     raw_db = layer_db("raw", subject)
-    for status, code in (("F", "mk101"), ("O", "mk202")):
+    for status, code in (("F", "mk101"), ("O", "mk202"), ("P", "mk303")):
         part = orders.filter(F.col("o_orderstatus") == status).select(_raw_id("o_orderkey"), price)
         strata.write_table(part, raw_db, f"{code}_00___BANCO")
     marts = schedules.run(
-        spark, raw_db, ["mk101", "mk202", "mk404"], [schedules.BANK, schedules.ACTIVITIES], subject
+        spark, raw_db, ["mk101", "mk202", "mk303", "mk404"], [schedules.BANK, schedules.ACTIVITIES], subject
     )
     bank = marts["fct_banco"].withColumn(
         "Valor_entregue__Cliente_", F.col("Valor_entregue__Cliente_").cast("double")
@@ -598,12 +656,12 @@ def schedules_missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCHEDULES_MISSING_TABLES = """
-SELECT CASE o_orderstatus WHEN 'F' THEN 'mk101' ELSE 'mk202' END AS codigo_cronograma,
-       CASE o_orderstatus WHEN 'F' THEN 'mk101' ELSE 'mk202' END || '_00___BANCO' AS tabela_origem,
+SELECT CASE o_orderstatus WHEN 'F' THEN 'mk101' WHEN 'O' THEN 'mk202' ELSE 'mk303' END AS codigo_cronograma,
+       CASE o_orderstatus WHEN 'F' THEN 'mk101' WHEN 'O' THEN 'mk202' ELSE 'mk303' END || '_00___BANCO' AS tabela_origem,
        CAST(o_orderkey AS VARCHAR) AS _airbyte_raw_id,
        CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS Valor_entregue__Cliente_,
        CAST(NULL AS BIGINT) AS empty_rows, CAST(NULL AS VARCHAR) AS empty_columns
-FROM orders WHERE o_orderstatus IN ('F', 'O')
+FROM orders
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, 0, 'codigo_cronograma,tabela_origem'
 """
@@ -765,6 +823,9 @@ QUERIES = {
     "land_roundtrip": (land_roundtrip, LAND_ROUNDTRIP),
     "export_roundtrip": (export_roundtrip, EXPORT_ROUNDTRIP),
     "sheet_header_order": (sheet_header_order, SHEET_HEADER_ORDER),
+    "sheet_header_groups": (sheet_header_groups, SHEET_HEADER_GROUPS),
+    "replaced_table": (replaced_table, REPLACED_TABLE),
+    "odata_found_fields": (odata_found_fields, ODATA_FOUND_FIELDS),
     "odata_pages": (odata_pages, ODATA_PAGES),
     "odata_bad_pages": (odata_bad_pages, ODATA_BAD_PAGES),
     "tickets_staging": (tickets_staging, TICKETS_STAGING),
