@@ -276,6 +276,45 @@ def test_wrapped_licenses(spark):
     assert [rows[i].n_paragraphs for i in (0, 60, 61, 62)] == [2, 1, 3, 2]
 
 
+# Wordings that are no template as they stand, and what they are.
+KEPT_BACK = [
+    ("MIT", "Distributed under the MIT license."), ("MIT", "This project is MIT licensed."), ("MIT", "The code is MIT licensed, see LICENSE."),
+    ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."), ("MIT", "// SPDX-License-Identifier: MIT"),
+    ("MIT", "Released under the MIT license by its authors."), ("Apache-2.0", "Licensed under Apache 2.0."),
+    ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0"), ("Apache-2.0", "This software is licensed under the Apache 2.0 license."),
+    ("Apache-2.0", "It is distributed under the terms of the Apache License 2.0."), ("BSD", "This package is licensed under the BSD 3-Clause license."),
+    ("BSD", "Distributed under the BSD License."), ("BSD", "/* SPDX-License-Identifier: BSD-3-Clause */"), ("GPL", "It may be used under the terms of the GNU GPL v3."),
+    ("GPL", "This tool is licensed under the GPLv3 license."), ("GPL", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL", "This library is licensed under the GNU LGPL v3 license."), ("LGPL", "SPDX-License-Identifier: LGPL-2.1-only"),
+    ("MPL-2.0", "The sources are licensed under MPL 2.0."), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided the notice stays."),
+    ("ISC", "This module is ISC licensed."), ("Unlicense", "This is free and unencumbered software released into the public domain, as is."),
+    ("EPL-2.0", "Licensed under the EPL 2.0 license."), ("CC-BY", "The photographs are licensed under a Creative Commons Attribution 4.0 International License."),
+]
+# Sentences that speak of licences without being a notice.
+NO_NOTICE = [
+    "The driver lost his license after the accident.", "They released the prisoners under the terms of the treaty.", "A license to fish is required here.",
+    "He is licensed to practise medicine.", "MIT is a university.", "The project is under way.", "All permission was granted by the mayor.",
+]
+
+
+def test_license_wordings(spark):
+    plain = [f"Some ordinary words about topic {i} and more of {i * 7}. Another sentence {i}" for i in range(60)]
+    texts = [*plain, *[f"Heading\n\n{t}\n\nMore words follow" for _, t in KEPT_BACK], *NO_NOTICE]
+    rows = {r.doc_id: {n.family for n in r.notices} for r in licenses.find_licenses(documents(spark, texts)).collect()}
+    found = [family in rows[60 + i] for i, (family, _) in enumerate(KEPT_BACK)]
+    wrong = [i for i in rows if (i < 60 or i >= 60 + len(KEPT_BACK)) and rows[i]]
+    assert sum(found) >= 0.9 * len(found), [t for ok, (_, t) in zip(found, KEPT_BACK, strict=True) if not ok]
+    assert not wrong
+
+
+def test_licenses_of_odd_tables(spark):
+    """An empty table, and repeated rows, which each keep their notice."""
+    assert licenses.find_licenses(documents(spark, []).limit(0)).count() == 0
+    twice = documents(spark, ["Released under the MIT License."]).unionAll(documents(spark, ["Released under the MIT License."]))
+    assert [[n.family for n in r.notices] for r in licenses.find_licenses(twice).collect()] == [["MIT"]] * 2
+
+
 def test_telling_words():
     """Candidates without them could not agree with any template."""
     told = set(licenses.telling_words())
