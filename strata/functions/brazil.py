@@ -20,6 +20,8 @@ DATE_FORMS = [
     (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
 ]
 
+DATE_LENGTH = 10
+
 # White space in cells; spreadsheets also use the non-breaking blank.
 _SPACES = " \t\r\n\x0b\f\xa0"
 
@@ -58,7 +60,12 @@ def number_form(cell: Column) -> Column:
     NULL when the cell is no number. The cell has no blanks around it.
     """
     br, plain = cell.rlike(BR_NUMBER), cell.rlike(PLAIN_NUMBER)
-    form = F.when(cell.rlike(r"^-?\d+$"), "any").when(br & plain, "both").when(br, "br").when(plain, "plain")
+    # The characters of a cell leave one pattern to try, or two.
+    form = (
+        F.when((F.instr(cell, ",") > 0) | F.startswith(cell, F.lit("R")), F.when(br, "br"))
+        .when(F.instr(cell, ".") > 0, F.when(br & plain, "both").when(br, "br").when(plain, "plain"))
+        .when(cell.rlike(r"^-?\d+$"), "any")
+    )
     return F.when(ends_in_digit(cell), form)
 
 
@@ -83,7 +90,7 @@ def cell_date(cell: Column) -> Column:
     out = F.when(cell.rlike(first[0]), F.try_to_date(cell, first[1]))
     for shape, fmt in rest:
         out = out.when(cell.rlike(shape), F.try_to_date(cell, fmt))
-    return out
+    return F.when(F.length(cell) == DATE_LENGTH, out)  # a cheap test before the patterns
 
 
 def parse_number(text: Column, dtype: T.DecimalType = NUMBER) -> Column:

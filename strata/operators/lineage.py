@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.names import col, qualified
 from strata.operators.layers import POINTER, list_tables
 from strata.operators.union import union_all
+from strata.session import literal_rows
 
 
 class Origin(NamedTuple):
@@ -96,7 +97,7 @@ def layer_inventory(
     schema = "table_name string, column_name string, position int, data_type string"
     tables = [(t, spark.table(qualified(database, t))) for t in list_tables(spark, database, exclude)]
     rows = [(t, f.name, i, f.dataType.simpleString()) for t, df in tables for i, f in enumerate(df.schema.fields)]
-    inventory = spark.createDataFrame(rows, schema)
+    inventory = literal_rows(spark, rows, schema)
     if not counts:
         return inventory
     if not rows:
@@ -142,7 +143,7 @@ def layer_lineage(
         for o in origins
     ]
     pair = "source_table string, source_column string, target_table string, target_column string, relation string"
-    by_plan = spark.createDataFrame(links, pair)
+    by_plan = literal_rows(spark, links, pair)
     same = source.select("source_table", "source_column").join(
         target.filter(~F.lower("target_table").isin(*traced)) if traced else target,
         (F.col("source_table") == F.col("target_table")) & (F.col("source_column") == F.col("target_column")),

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from strata.functions import brazil
 from strata.functions.names import check_case_collisions, col, split_technical
+from strata.session import literal_rows
 
 # Number forms of a column.
 BRAZILIAN, PLAIN, MIXED = "br", "plain", "mixed"
@@ -72,7 +73,7 @@ def count_forms(cells: DataFrame, keys: list[str]) -> DataFrame:
     cells = cells.select(*keys, brazil.trimmed(F.col("value")).alias("cell"))
     cells = cells.select(*keys, "cell", brazil.number_form(F.col("cell")).alias("form"))
     cell, form = F.col("cell"), F.col("form")
-    digits = F.length(F.translate(cell, "-R$,. \t\r\n\x0b\f\xa0", ""))
+    digits = F.when(form.isNotNull(), F.length(F.translate(cell, "-R$,. \t\r\n\x0b\f\xa0", "")))
     after = lambda mark: F.when(F.instr(cell, mark) > 0, F.length(cell) - F.instr(cell, mark)).otherwise(0)
     kinds = cells.select(
         *keys, "form", digits.alias("digits"), after(",").alias("br"), after(".").alias("plain"),
@@ -146,7 +147,7 @@ class LostCells:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """``relation, column, n_lost``, one row for each relation and converted column."""
-        return spark.createDataFrame(self._rows(), "relation string, column string, n_lost bigint")
+        return literal_rows(spark, self._rows(), "relation string, column string, n_lost bigint")
 
     def _rows(self) -> list[tuple[str | None, str, int]]:
         out = []

@@ -9,7 +9,8 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 A = TypeVar("A")
 B = TypeVar("B")
@@ -31,6 +32,27 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A small table of strings, whole numbers and NULLs as literals of the plan, without Python data behind it."""
+    fields = T.StructType.fromDDL(schema).fields
+
+    def shown(value, dtype: T.DataType) -> str:
+        if value is None:
+            text = "NULL"
+        elif isinstance(value, str):
+            text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        else:
+            text = str(value)
+        return f"CAST({text} AS {dtype.simpleString()})"
+
+    lines = ["(" + ", ".join(shown(v, f.dataType) for v, f in zip(row, fields, strict=True)) + ")" for row in rows]
+    names = ", ".join(f.name for f in fields)
+    if not lines:
+        none = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
+        return spark.sql(f"SELECT * FROM VALUES ({none}) AS t({names}) LIMIT 0")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(lines)} AS t({names})")
+
+
 def in_parallel(
     spark: SparkSession, work: Callable[[A], B], items: Iterable[A], threads: int = WRITERS
 ) -> list[B]:
