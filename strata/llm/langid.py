@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1 << 15
+# N-grams that every text is granted in its coverage: a few unknown ones prove nothing.
+TAKEN_AS_SEEN = 10
 SAMPLE = 4000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-3, 1e-3
@@ -78,12 +80,25 @@ class Model:
     weights: np.ndarray  # a row a place, a column a language
     bias: np.ndarray
     temperature: float
+    seen: np.ndarray | None = None  # which places the training sample has
 
     def logits(self, places: np.ndarray, times: np.ndarray) -> np.ndarray:
         return weights(places, times, self.idf) @ self.weights[places] + self.bias
 
+    def coverage(self, places: np.ndarray, times: np.ndarray) -> float:
+        """The share of a text's n-grams that the training sample has, short texts drawn towards 1; 0 without any.
+
+        The sample is of bounded size, so the share does not grow with the corpus.
+        """
+        if self.seen is None or not len(places):
+            return 0.0
+        return float((times[self.seen[places]].sum() + TAKEN_AS_SEEN) / (times.sum() + TAKEN_AS_SEEN))
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        places, times = counts(text or "")
+        return self.judge(*counts(text or ""))
+
+    def judge(self, places: np.ndarray, times: np.ndarray) -> tuple[str, float]:
+        """``predict`` from the counted n-grams."""
         if not len(places) or not self.languages:
             return "und", 0.0
         p = _softmax(self.logits(places, times) / self.temperature)
@@ -192,24 +207,36 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAM
     features = drawn.mapInArrow(_features, "lang string, chance double, places binary, times binary").collect()
     features.sort(key=lambda r: (r.chance, r.lang, r.places, r.times))
     learned = [(r.lang, np.frombuffer(r.places, "<u2").astype(np.int64), np.frombuffer(r.times, "<u4")) for r in features if r.places]
-    return train(learned, idf)
+    model = train(learned, idf)
+    model.seen = np.zeros(DIMENSIONS, bool)
+    for _, places, _ in learned:
+        model.seen[places] = True
+    return model
+
 
+def identify(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None, coverage: bool = False) -> DataFrame:
+    """Add ``lang_pred`` and ``score`` to ``df`` (or to its columns ``keep``); only the text is looked at.
 
-def identify(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to ``df`` (or to its columns ``keep``); only the text is looked at."""
+    With ``coverage`` also the share of the text's n-grams that training has seen. The score says
+    which learned language is likely, the coverage whether it is one of them at all: it does not
+    depend on how many there are.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    new = ("lang_pred", "score", *(("coverage",) if coverage else ()))
+    kept = [c for c in (df.columns if keep is None else keep) if c not in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t) for t in batch.column("__text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*kept, "lang_pred", "score"],
-            )
+            grams = [counts(t or "") for t in batch.column("__text").to_pylist()]
+            found = [shared.value.judge(*g) for g in grams]
+            out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            if coverage:
+                out.append(pa.array([shared.value.coverage(*g) for g in grams], pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *out], names=[*kept, *new])
 
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
-    schema = source.select(*[f"`{c}`" for c in kept], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    empty = [F.lit("").alias("lang_pred"), *[F.lit(0.0).alias(c) for c in new[1:]]]
+    schema = source.select(*[f"`{c}`" for c in kept], *empty).schema
     return source.mapInArrow(run, schema)
 
 

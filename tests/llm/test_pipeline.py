@@ -23,3 +23,24 @@ def test_stages_decide(spark):
         assert stage(spark, docs.limit(0), "").count() == 0
     twice = docs.filter("doc_id < 3").unionAll(docs.filter("doc_id < 3"))
     assert pipeline.near_copies(spark, twice, "").count() == 3
+
+
+def test_languages_that_were_not_learned_go(spark):
+    """Rejection does not depend on how many languages there are: other scripts and noise go, what was learned stays."""
+    strange = ["Съешь же ещё этих мягких французских булок, да выпей чаю. Это простой текст.", "日本語のテキストです。今日は良い天気ですね。", "qzxj vbnk wqpz xkcd zzqv jjkw pqlm wvxz"]
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    n = given.count()
+    odd = spark.createDataFrame([(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(strange)], DOCS)
+    kept = {r.doc_id for r in pipeline.language(spark, given.unionAll(odd), "").collect()}
+    assert not kept & {10**6 + i for i in range(len(strange))}
+    assert len(kept) == given.filter("text RLIKE '\\\\p{L}'").count() <= n
+
+
+def test_null_ids_and_empty_tables(spark):
+    """One row a group also without ids; an empty table goes through every stage."""
+    one, two = ("alpha beta gamma delta epsilon zeta eta theta iota kappa " * 4).strip(), "north south east west up down left right in out " * 4
+    texts = [one, one + " lambda", two, two + "over", "", one]
+    docs = spark.createDataFrame([(None, t, "en", "s", len(t)) for t in texts] + [(7, one, "en", "s", len(one))], DOCS)
+    kept = pipeline.near_copies(spark, docs, "").collect()
+    assert len(kept) == 3 and 7 in {r.doc_id for r in kept} and "" in {r.text for r in kept}
+    assert pipeline.tokens(spark, docs.limit(0), "").count() == 0
