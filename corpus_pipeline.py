@@ -14,15 +14,15 @@ from strata.llm import boilerplate, bpe, jaccard, langid, mixing
 from strata.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# A document whose language is less likely than this is rejected.
-LEAST_SCORE = 0.3
+# A document that shares less of its n-grams with the training sample is in none of its languages.
+LEAST_COVERAGE = 0.85
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the classifier recognises; texts without a letter go."""
+    """Documents in a language that the classifier has learned; other scripts, noise and texts without a letter go."""
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
-    found = langid.identify(docs, model)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.identify(docs, model, coverage=True)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("coverage") >= LEAST_COVERAGE)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +34,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Texts without words all stay."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
-    stay = jaccard.join_similar(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key.alias("__key")).distinct()
-    rows = docs.withColumn("__key", key).withColumn("__mark", F.xxhash64("text"))
+    """One document of each group of near copies: the one with the smallest id. Texts without words all stay.
+
+    A document without an id is named by its text's digest, above all ordinary ids, so it
+    stands for its group only where no other document does.
+    """
+    digest = F.xxhash64("text").bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62)
+    rows = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), digest))
+    found = jaccard.join_similar(rows.select(F.col("__key").alias("doc_id"), "text"))
+    stay = found.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("__key")).distinct()
     # Repeated rows are copies too.
-    return rows.join(stay, "__key", "left_semi").dropDuplicates(["__key", "__mark"]).select(*docs.columns)
+    kept = rows.withColumn("__mark", F.xxhash64("text")).join(stay, "__key", "left_semi")
+    return kept.dropDuplicates(["__key", "__mark"]).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
