@@ -116,6 +116,58 @@ def test_bootstrap_finds_new_identifiers(spark):
     assert pii.find_pii(documents(spark, ["a@b.c"]).limit(0)).count() == 0
 
 
+def added_of(spark, texts):
+    rows = pii.find_pii(documents(spark, texts)).collect()
+    return {r.doc_id: sorted((s.kind, texts[r.doc_id][s.start : s.end]) for s in r.added) for r in rows if r.added}
+
+
+def test_bootstrap_takes_whole_identifiers(spark):
+    texts = [f"Tel: +1 (988) 555-24{i:02d} or later" for i in range(12)]
+    texts += ["Tel: (988) 555-7711 or later", "contact: bob at hidden dot org now"]
+    texts += [f"contact: user{i}@site.org now" for i in range(6)]
+    # A base span inside a longer run, or beside one, is never covered again.
+    texts += ["Tel: +1 (988) 555-2400, Tel: (030) 555-1234 or", "Tel: 1.2.3.4 5551234 or"]
+    assert added_of(spark, texts) == {
+        12: [("phone", "(988) 555-7711")], 13: [("email", "bob at hidden dot org")], 20: [("phone", "(030) 555-1234")],
+    }
+
+
+def test_bootstrap_runs_until_nothing_changes(spark):
+    # Each stage's slots are known only by the instances that the stage before it found.
+    texts = [f"s0: +49 30 5551{i:03d} e0." for i in range(30)]
+    for stage in range(6):
+        shared = [f"({stage}{i}0) 555-7{i}{stage}1" for i in range(6)]
+        texts += [f"s{stage}: {x} e{stage}." for x in shared] + [f"s{stage + 1}: {x} e{stage + 1}." for x in shared] * 5
+    texts += ["s6: (999) 555-0000 e6."]
+    found = added_of(spark, texts)
+    assert found == brute.bootstrap(texts)
+    assert found[len(texts) - 1] == [("phone", "(999) 555-0000")] and len(found) == len(texts) - 30
+
+
+def test_bootstrap_equals_plain_version(spark):
+    random.seed(12)
+    words = ["tel:", "card", "mail", "host", "the", "x", "no."]
+    things = [lambda: f"+1 (988) 555-{random.randint(0, 30):04d}", lambda: f"(988) 555-{random.randint(0, 30):04d}", lambda: "4111 1111 1111 1111",
+              lambda: f"3782 822463 {random.randint(10000, 10020)}", lambda: f"u{random.randint(0, 20)}@a.org", lambda: f"u{random.randint(0, 20)} at a dot org",
+              lambda: f"10.0.0.{random.randint(0, 30)}", lambda: f"fe80:0:0:{random.randint(0, 20)}", lambda: str(random.randint(1, 99))]
+    usual = {w: [things[2 * i]] * 12 + [things[2 * i + 1]] for i, w in enumerate(words[:4])}
+    texts = []
+    for _ in range(400):
+        parts = []
+        for _ in range(random.randint(1, 5)):
+            w = random.choice(words)
+            parts += [w, random.choice(usual.get(w, things) if random.random() < 0.95 else things)(), random.choice([",", "\n", "and", "é"])]
+        texts.append(" ".join(parts))
+    found = added_of(spark, [*texts, *texts[:20], None, ""])
+    assert found == brute.bootstrap([*texts, *texts[:20], "", ""]) and len(found) > 20
+
+
+def test_mentions_of_one_long_text(spark):
+    n = 100000
+    row = pii.find_pii(documents(spark, ["12 x a@b.c y " * n, "a1 " * n])).orderBy("doc_id").collect()[0]
+    assert len(row.email) == n and row.email[-1].start == 13 * (n - 1) + 5 and not row.added
+
+
 # -------------------------------------------------------------------------- 3, mix
 
 
