@@ -1,8 +1,8 @@
 """Drop lines that stand on too large a share of their host's pages.
 
 For each host, the pages that contain a line are divided by all pages of the host. A
-line above ``ratio``, and on ``least_pages`` pages at least, is boilerplate of that host
-and leaves all its pages. Lines are compared without the white space around them; lines
+line above ``ratio``, and on ``least_pages`` pages at least (2: a line of one page is no repeat),
+is boilerplate of that host and leaves all its pages. Lines are compared without the white space around them; lines
 of white space alone are never dropped.
 
 Plan: lines become 64-bit hashes within their page, each once, and are counted by host
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from strata.llm.support import row_key
 
 RATIO = 0.1
-LEAST_PAGES = 5
+LEAST_PAGES = 2
 _BLANK = " \t\r\x0b\x0c"
 
 
@@ -37,6 +37,13 @@ def _hash(line: Column) -> Column:
     return F.when(core != "", F.xxhash64(core))
 
 
+def _holds(ordered: Column, value: Column) -> Column:
+    """Whether an ascending array holds a value, by halving: a long page may lose very many lines."""
+    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(ordered, at + step) <= value, at + step).otherwise(at))
+    return F.coalesce(F.get(ordered, place) == value, F.lit(False))
+
+
 def boilerplate(
     df: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
 ) -> DataFrame:
@@ -69,10 +76,10 @@ def drop_boilerplate(
     held = held.select("__key", "host", F.explode(hashes).alias("line"))
     bad = boilerplate(df, host, text, ratio, least_pages).select("host", "line")
     # At most as many hashes as the page has lines.
-    drops = held.join(bad, ["host", "line"]).groupBy("__key").agg(F.collect_set("line").alias("__drop"))
+    drops = held.join(bad, ["host", "line"]).groupBy("__key").agg(F.sort_array(F.collect_set("line")).alias("__drop"))
     joined = rows.join(drops, "__key", "left")
     lines = _lines(F.col("__text"))
-    kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(F.col("__drop"), _hash(line)), F.lit(False)))
+    kept = F.filter(lines, lambda line: ~_holds(F.col("__drop"), _hash(line)))
     joined = joined.withColumn("__kept", F.when(F.col("__drop").isNotNull(), kept).otherwise(lines))
     n_lines = F.when(F.col("__text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     n_kept = F.when(F.col("__text").isNull(), 0).otherwise(F.size("__kept")).cast("long")

@@ -99,7 +99,7 @@ p AS (SELECT source, count(*) AS of_pages FROM documents GROUP BY source),
 b AS (
   SELECT l.source, core FROM l JOIN p ON l.source IS NOT DISTINCT FROM p.source WHERE core <> ''
   GROUP BY l.source, core, of_pages
-  HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1::DOUBLE * of_pages),
+  HAVING count(DISTINCT doc_id) >= 2 AND count(DISTINCT doc_id) > 0.1::DOUBLE * of_pages),
 k AS (
   SELECT l.*, EXISTS (SELECT 1 FROM b WHERE b.source IS NOT DISTINCT FROM l.source AND b.core = l.core) AS gone FROM l),
 g AS (
