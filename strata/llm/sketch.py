@@ -5,7 +5,11 @@ size follows the text and two sketches merge by uniting them. A text with fewer
 ``FLOOR`` hashes below the line keeps its ``FLOOR`` smallest instead; its line is then
 the largest one kept (no line when every shingle is kept). Two sketches are compared
 below the lower of their lines, where both are whole: the estimate is the share of
-the smaller set that the other contains.
+the smaller set that the other contains. Where the smaller side keeps nothing below that
+line the estimate is 0: a text of n shingles inside a much longer one is missed so with a
+probability of (1 - ``FRACTION``) ** n, 0.46 for 12 shingles, 0.20 for 25, 0.04 for 50.
+:func:`united` (:func:`merged` in SQL) gives the sketch of two shingle sets together, the very one
+that a text with both sets of shingles would have.
 
 Format: the line as 16 hexadecimal digits, then the kept hashes in ascending order, 16
 digits each. Equal texts have equal fingerprints.
@@ -32,6 +36,7 @@ FRACTION = 1 / 16
 FLOOR = 16
 _ALL = (1 << 64) - 1
 _SLICE = 1 << 20
+RANGE_BYTES = 64 << 20
 
 
 def sketches(data: np.ndarray, offsets: np.ndarray, fraction: float = FRACTION) -> list[np.ndarray]:
@@ -67,6 +72,17 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(len(np.intersect1d(one, two, assume_unique=True)) / fewer)
 
 
+def united(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
+    """The sketch of two shingle sets together, from their sketches."""
+    both, line = np.union1d(a[1:], b[1:]), np.uint64(int(fraction * 2**64) - 1)
+    low = both[both <= line]
+    if len(low) >= FLOOR:
+        return np.concatenate([[line], low])
+    whole = len(both) <= FLOOR and a[0] == b[0] == np.uint64(_ALL)
+    top = np.uint64(_ALL) if whole else both[FLOOR - 1]
+    return np.concatenate([[top], both[:FLOOR]])
+
+
 def of_texts(texts: list[str], fraction: float = FRACTION) -> list[np.ndarray]:
     data, offsets = text_bytes(pa.array(texts, pa.large_string()))
     return [s for a, b in row_slices(offsets, _SLICE) for s in sketches(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], fraction)]
@@ -120,9 +136,9 @@ def with_successor(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         return dealt.select("part", F.lit(False).alias("closing"), "doc_id", "text")
     before = {p: used[i - 1] for i, p in enumerate(used)}
     first = dealt.groupBy("part").agg(F.min(F.struct("doc_id", "text")).alias("row"))
-    chain = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    closing = first.select(
-        chain[F.col("part")].alias("part"), F.lit(True).alias("closing"), "row.doc_id", "row.text"
+    chain = spark.createDataFrame(list(before.items()), "part int, closes int")  # two numbers a range
+    closing = first.join(chain, "part").select(
+        F.col("closes").alias("part"), F.lit(True).alias("closing"), "row.doc_id", "row.text"
     )
     whole = dealt.select("part", F.lit(False).alias("closing"), "doc_id", "text").union(closing)
     return whole.repartitionByRange("part").sortWithinPartitions("part", "closing", "doc_id", "text")
@@ -169,15 +185,26 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text", fract
     return with_successor(df, key, text).mapInArrow(run, schema)
 
 
+def _kept(fingerprint: Column) -> Column:
+    return F.regexp_extract_all(F.substr(fingerprint, F.lit(17)), F.lit("(.{16})"), 1)
+
+
+def merged(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """The fingerprint of two texts' shingles together, in SQL functions; as :func:`united`."""
+    both = F.sort_array(F.array_union(_kept(a), _kept(b)))
+    line, none = F.lit(f"{int(fraction * 2**64) - 1:016x}"), F.lit("f" * 16)
+    low = F.filter(both, lambda x: x <= line)
+    whole = (F.size(both) <= FLOOR) & (F.substring(a, 1, 16) == none) & (F.substring(b, 1, 16) == none)
+    top = F.when(whole, none).otherwise(F.get(both, F.lit(FLOOR - 1)))
+    few = F.concat(top, F.array_join(F.slice(both, 1, FLOOR), ""))
+    return F.when(F.size(low) >= FLOOR, F.concat(line, F.array_join(low, ""))).otherwise(few)
+
+
 def contained(a: Column, b: Column) -> Column:
     """Likeness of two fingerprint columns, in SQL functions; as :func:`likeness`."""
     line = F.least(F.substring(a, 1, 16), F.substring(b, 1, 16))
 
-    def below(c: Column) -> Column:
-        rest = F.substr(c, F.lit(17))
-        return F.filter(F.regexp_extract_all(rest, F.lit("(.{16})"), 1), lambda x: x <= line)
-
-    one, two = below(a), below(b)
+    one, two = (F.filter(_kept(c), lambda x: x <= line) for c in (a, b))
     fewer = F.least(F.size(one), F.size(two))
     both_empty = (F.length(a) == 16) & (F.length(b) == 16)
     return F.when(fewer == 0, both_empty.cast("double")).otherwise(F.size(F.array_intersect(one, two)) / fewer)

@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -203,11 +204,26 @@ def test_boilerplate(spark):
     rows = boilerplate.drop_boilerplate(documents(spark, texts)).orderBy("doc_id").collect()
     assert [r.text for r in rows] == [*(f"own line {i}\n" for i in range(8)), None, "", "", "x"]
     assert [(r.n_lines, r.n_dropped) for r in rows[7:]] == [(4, 2), (0, 0), (1, 0), (1, 1), (2, 1)]
-    two = boilerplate.drop_boilerplate(documents(spark, texts, sources=["a", "b", None])).select("text").collect()
-    assert sum("menu" in (r.text or "") for r in two) == 9  # too few pages of each host
+    alone = boilerplate.drop_boilerplate(documents(spark, texts, sources=[str(i) for i in range(12)])).select("text").collect()
+    assert sorted(r.text or "" for r in alone) == sorted(t or "" for t in texts)  # hosts of one page
+    rare = boilerplate.drop_boilerplate(documents(spark, texts), least_pages=10).select("n_dropped").collect()
+    assert not any(r.n_dropped for r in rare)
     assert boilerplate.drop_boilerplate(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_boilerplate_of_small_hosts_and_long_pages(spark):
+    two = boilerplate.drop_boilerplate(documents(spark, ["nav\na", "nav\nb"])).orderBy("doc_id").collect()
+    assert [r.text for r in two] == ["a", "b"]
+    random.seed(5)
+    shared = [f"line {i}" for i in range(30000)]
+    pages = [random.sample(shared + [f"own {p} {i}" for i in range(20000)], 50000) for p in range(2)]
+    got = boilerplate.drop_boilerplate(documents(spark, ["\n".join(p) for p in pages])).orderBy("doc_id").collect()
+    assert [r.text for r in got] == ["\n".join(x for x in p if x.startswith("own")) for p in pages]
+    assert [r.n_dropped for r in got] == [30000, 30000]
+    same = spark.createDataFrame([(1, "a\nb", "s")] * 3 + [(None, "a\nc", "s"), (None, "a\nc", None)], "doc_id long, text string, source string")
+    assert sorted(r.text for r in boilerplate.drop_boilerplate(same).collect()) == ["", "", "", "a\nc", "c"]
+
+
 # ------------------------------------------------------------------------- 5, top-k
 
 
@@ -421,6 +437,31 @@ def test_likeness_estimates_containment(spark):
     assert row.ab == pytest.approx(sketch.likeness(a, b)) and row.ac == 0
 
 
+def test_merged_sketches_are_those_of_both_sets(spark):
+    random.seed(6)
+    sizes = [0, 5, 9, 16, 30, 200, 600, 3000]
+    hashes = [np.array([random.getrandbits(64) for _ in range(n)], np.uint64) for n in sizes]
+
+    def direct(values):
+        values, line = np.unique(values), np.uint64(int(sketch.FRACTION * 2**64) - 1)
+        low = values[values <= line]
+        if len(low) >= sketch.FLOOR:
+            return np.concatenate([[line], low])
+        top = np.uint64(2**64 - 1) if len(values) <= sketch.FLOOR else values[sketch.FLOOR - 1]
+        return np.concatenate([[top], values[: sketch.FLOOR]])
+
+    pairs = [(a, b, direct(np.concatenate([a, b]))) for a in hashes for b in [*hashes, hashes[3][:4]]]
+    for a, b, both in pairs:
+        assert sketch.united(direct(a), direct(b)).tolist() == both.tolist()
+    shown = spark.createDataFrame([tuple(sketch.written(x) for x in (direct(a), direct(b), both)) for a, b, both in pairs], "a string, b string, both string")
+    assert shown.filter(sketch.merged(F.col("a"), F.col("b")) != F.col("both")).count() == 0
+    texts = [" ".join(f"w{random.randint(0, 400)}" for _ in range(n)) for n in (900, 3, 40)]
+    words = [t.split() for t in texts]
+    for text, w in zip(texts, words, strict=True):  # a sketch against the shingles' own hashes, one by one
+        own = [sketch.shingles(*sketch.text_bytes(pa.array([" ".join(w[i : i + 5])])))[0][0] for i in range(max(1, len(w) - 4))]
+        assert sketch.of_texts([text])[0].tolist() == direct(np.array(own, np.uint64)).tolist()
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = sketch.compare_edited(documents(spark, ODD)).collect()
     assert len(rows) == len(ODD) and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
