@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -245,6 +246,48 @@ def test_topk(spark, monkeypatch):
     assert topk.top_k(whole.limit(0), whole.limit(0)).count() == 0
 
 
+def best_rows(rows, k=20):
+    """The k best of every query (ids divisible by 20), compared one by one; of a repeated id the smallest vector asks."""
+    asked = {}
+    for i, v in sorted((i, v) for i, v in rows if i is not None and i % 20 == 0):
+        asked.setdefault(i, v)
+    out = []
+    for q, v in asked.items():
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in rows if i is not None and i != q)[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("large", [1, 2**20])
+def test_topk_of_clusters_repeats_and_large_numbers(spark, monkeypatch, large):
+    for name, n in (("BLOCK", 8), ("GROUP", 2), ("CHUNK", 16), ("SUMMARY", 3)):
+        monkeypatch.setattr(topk, name, n)
+    random.seed(15)
+    rows = [(i, [large * (random.randint(-9, 9) + 60 * (i // 40 % 6 == j)) for j in range(6)]) for i in range(500)]
+    rows += rows[40:70] + [(40, [1]), (60, [large * 50] * 3), (None, [1, 2])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    got = topk.top_k(df, df.filter("vec_id % 20 = 0"), 20).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == best_rows(rows)
+    # Fewer rows than k: all of them, from all groups.
+    few = df.filter("vec_id < 18")
+    assert topk.top_k(few, few.filter("vec_id = 0"), 20).count() == 17
+    if large > 1:
+        huge = spark.createDataFrame([(0, [2**40]), (1, [2**40])], "vec_id long, vector array<long>")
+        with pytest.raises(Exception, match="64 bits"):
+            topk.top_k(huge, huge.filter("vec_id = 0")).collect()
+
+
+def test_topk_skips_blocks_below_the_threshold(monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    rows = pd.DataFrame({"vec_id": range(40), "vector": [[i // 4, 1] for i in range(40)]})
+    query = pd.DataFrame({"vec_id": [-1], "vector": [[1, 0]]})
+    found, scored = topk._search(query, rows, 4)
+    assert (scored, found["score"].tolist()) == (1, [9] * 4)
+    for least, blocks in ((9, 1), (10, 0)):
+        assert topk._search(query, rows, 20, np.array([least]))[1] == blocks
+    assert topk._search(query, rows, 20)[1] == 5
+
+
 # ------------------------------------------------------------------------ 6, Jaccard
 
 
