@@ -21,7 +21,11 @@ the same text or another. Overlaps count; everything is judged on the input.
    into runs of ``STEP`` starts, which meet by the bytes that all windows of a run share.
    Occurrences of a gram meet in one task, up to ``MOST`` of them (a few MB of numbers). A gram
    beyond that is divided from the start, and equal pieces become one, with a number of
-   occurrences, before they meet.
+   occurrences, before they meet. Different pieces of a run differ only in the few bytes at
+   either end; where more than ``CROWD`` of them are left, as at the edges of a block that
+   stands in very many texts, they do not meet: their single windows are counted in a partial
+   aggregate by digest (in one task, by hash, where the gram has no more than ``MOST`` occurrences).
+   So no group grows with the data.
 4. The covered ranges are united by text.
 
 Maximal repeats longer than a unit appear as a chain of overlapping groups, one an anchor.
@@ -303,13 +307,31 @@ def _united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def covered(units: list[bytes], times: list[int]) -> list[list[tuple[int, int]]]:
-    """For each unit, the united ranges that maximal repeat groups cover; a unit that occurs twice is covered whole."""
+def _again(units: list[bytes], times: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Unit and start of every window that occurs again, by counts of window hashes."""
+    sizes = np.array([len(u) for u in units])
+    windows = np.maximum(sizes - LENGTH + 1, 0)
+    unit = np.repeat(np.arange(len(units)), windows)
+    start = np.arange(len(unit)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = (np.cumsum(sizes) - sizes)[unit] + start
+    _, which = np.unique(range_hashes(np.frombuffer(b"".join(units), np.uint8), at, at + LENGTH), return_inverse=True)
+    more = np.bincount(which, times[unit])[which] > 1
+    return zip(unit[more].tolist(), start[more].tolist(), strict=True)
+
+
+def covered(units: list[bytes], times: list[int], most: int = CROWD + _ROWS) -> list[list[tuple[int, int]]]:
+    """For each unit, the united ranges that maximal repeat groups cover; a unit that occurs twice is covered whole.
+
+    More than ``most`` different units are too many for one suffix array; their windows are counted.
+    """
     number: dict[bytes, int] = {}
     which = [number.setdefault(u, len(number)) for u in units]
     total = np.bincount(which, times, len(number))
     found: list[list[tuple[int, int]]] = [[(0, len(u))] if total[i] > 1 else [] for u, i in number.items()]
-    if len(number) > 1:
+    if len(number) > most:
+        for i, start in _again(list(number), total):
+            found[i].append((start, start + LENGTH))
+    elif len(number) > 1:
         array = SuffixArray(list(number))
         for length, _, _, own in array.maximal():
             for place in own:
@@ -373,6 +395,17 @@ def _cover_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield from some.append_column("ranges", pa.array(ranges, pa.list_(pa.int64()))).combine_chunks().to_batches()
 
 
+def _single_windows(merged: DataFrame) -> DataFrame:
+    """``job, unit, ranges`` of pieces too many to meet: the windows that occur again, counted by digest."""
+    starts = F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH)
+    each = merged.select("job", "unit", "times", "bytes", F.explode(starts).alias("start"))
+    each = each.select("job", "unit", "times", "start", F.unhex(F.md5(F.substring("bytes", F.col("start") + 1, LENGTH))).alias("window"))
+    again = each.groupBy(F.col("window").alias("w")).agg(F.sum("times").alias("n")).filter("n > 1").select("w")
+    found = each.join(again, each["window"] == again["w"], "left_semi").groupBy("job", "unit").agg(F.collect_set("start").alias("starts"))
+    ranges = F.flatten(F.transform("starts", lambda a: F.array(a.cast("long"), a.cast("long") + LENGTH)))
+    return found.select("job", "unit", ranges.alias("ranges"))
+
+
 def _of_texts(texts: DataFrame, small: DataFrame) -> DataFrame:
     """Texts with what is known of them (``id``, ``m``).
 
@@ -426,10 +459,13 @@ def repeated_ranges(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pieces = held.filter(F.size("hot") > 0).select("doc_id", "mark", "text", "hot").mapInArrow(
         _pieces, f"job binary, unit binary, bytes binary, doc_id {kind}, mark long, at long"
     )
-    merged = pieces.groupBy("job", "unit").agg(F.count(F.lit(1)).alias("times"), F.first("bytes").alias("bytes"))
-    divided = merged.repartition("job").sortWithinPartitions("job").mapInArrow(
+    merged = settle(pieces.groupBy("job", "unit").agg(F.count(F.lit(1)).alias("times"), F.first("bytes").alias("bytes")))
+    large = merged.groupBy(F.col("job").alias("large")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select("large")
+    few = merged.join(large, merged["job"] == large["large"], "left_anti")
+    divided = few.repartition("job").sortWithinPartitions("job").mapInArrow(
         _cover_pieces, "job binary, unit binary, ranges array<long>"
     )
+    divided = divided.union(_single_windows(merged.join(large, merged["job"] == large["large"], "left_semi")))
     divided = pieces.select("job", "unit", "doc_id", "mark", "at").join(divided, ["job", "unit"]).select(
         "doc_id", "mark", F.transform("ranges", lambda x: x + F.col("at")).alias("ranges")
     )

@@ -65,7 +65,7 @@ def repeat_cases():
     return out + ODD[:5] + ["é" * 300]
 
 
-@pytest.mark.parametrize(("most", "crowd"), [(100_000, 4000), (100_000, 2), (3, 4000)])
+@pytest.mark.parametrize(("most", "crowd"), [(100_000, 4000), (100_000, 2), (3, 4000), (3, 1)])
 def test_repeats(spark, monkeypatch, most, crowd):
     """Also where grams are taken for crowded, and divided."""
     monkeypatch.setattr(repeats, "MOST", most)
@@ -80,6 +80,33 @@ def test_repeats(spark, monkeypatch, most, crowd):
             assert i not in got
 
 
+def test_covered_by_windows_and_by_suffix_arrays():
+    """Units too many for one suffix array lose the same bytes; a unit that repeats itself is found, too."""
+    units = [t.encode()[:368] for t in repeat_cases() if t and len(t.encode()) >= repeats.LENGTH]
+    units += [u[k : k + 215] for u in units for k in (0, 7)]
+    for times in ([1] * len(units), [1 + i % 3 for i in range(len(units))]):
+        assert repeats.covered(units, times, most=1) == repeats.covered(units, times)
+
+
+def test_edges_of_a_hot_block_meet_in_no_group(spark, monkeypatch):
+    """A block that stands in every text: its edges give a different piece a text, none of which meet the others."""
+    monkeypatch.setattr(repeats, "MOST", 20)
+    monkeypatch.setattr(repeats, "CROWD", 30)
+    seen = []
+    whole = repeats._single_windows
+    monkeypatch.setattr(repeats, "_single_windows", lambda merged: seen.append(merged) or whole(merged))
+    draw = random.Random(6)
+    say = lambda n: "".join(draw.choices("abcdefghijklmnop ", k=n))
+    block = say(400)
+    texts = [say(150) + block + say(150) for _ in range(120)]
+    got = {r.doc_id: (bytes(r.kept), len(r.spans) // 2) for r in repeats.cut_repeats(documents(spark, texts)).collect()}
+    # By chance texts may share the byte before or after the block.
+    expected = brute.cut_repeats([t.encode() for t in texts])
+    assert got == {i: (kept, runs) for i, (kept, _, runs) in enumerate(expected)}
+    crowds = seen[0].groupBy("job").count()
+    assert crowds.count() > 0 and crowds.agg(F.min("count")).first()[0] > 30
+
+
 def test_repeats_of_equal_rows_and_null_ids(spark):
     text = "".join(random.Random(5).choices("abcdef ", k=500))
     rows = spark.createDataFrame([(1, text), (1, text), (None, text), (None, None)], "doc_id long, text string")
