@@ -399,6 +399,16 @@ def test_licenses(spark):
     assert len(rows) == len(texts)
 
 
+def test_many_notices_in_one_text(spark):
+    """A sentence counts by its own lines, or as a whole."""
+    lines = "Released under the MIT License.\nLicensed under the MIT license\nReleased under the BSD License\n\n" * 1000
+    split = "Released under the\nMIT License.\n\n"
+    rows = licenses.find_licenses(documents(spark, [lines, split, "plain words\n" * 50])).collect()
+    got = {r.doc_id: [(n.family, n.line) for n in r.notices] for r in rows}
+    assert got[0] == [(family, 4 * i + k) for i in range(1000) for k, family in enumerate(("MIT", "MIT", "BSD"))]
+    assert [f for f, _ in got[1]] == ["MIT"] and got[2] == []
+
+
 def test_wrapped_licenses(spark):
     bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
     style = "# Copyright 2020 The Authors\n#\n# Use of this source code is governed by a BSD-style\n# license that can be found in the LICENSE file.\n\npackage main"
