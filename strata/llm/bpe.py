@@ -243,6 +243,12 @@ class Codec:
         return self.token_bytes[_spans(self.token_starts[ids], lengths)], ends[offsets]
 
 
+def _same_rows(left: np.ndarray, left_ends: np.ndarray, right: np.ndarray, right_ends: np.ndarray) -> list[bool]:
+    """Whether each row has the same bytes in two arrays with n + 1 offsets each."""
+    rows = zip(left_ends, left_ends[1:], right_ends, right_ends[1:], strict=False)
+    return [np.array_equal(left[a:b], right[c:d]) for a, b, c, d in rows]
+
+
 _codecs: dict[tuple[str, str], Codec] = {}
 
 
@@ -261,33 +267,41 @@ def _share(df: DataFrame, vocabulary: str):
 
 
 def encode(
-    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep: tuple[str, ...] | None = None, decoded: bool = False
+    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep: tuple[str, ...] | None = None, decoded: bool = False,
+    round_trip: bool = False,
 ) -> DataFrame:
     """Add ``tokens``: the ids of each text as little-endian unsigned 32-bit integers.
 
     ``vocabulary`` is a ``.tiktoken`` file that the driver reads; its ranks, a few
     hundred kilobytes whatever the data, are broadcast. ``keep`` names the columns to
     return beside it, all by default. With ``decoded`` the ids are decoded in the same pass
-    and their bytes added too, as :func:`decode` would.
+    and their bytes added too, as :func:`decode` would. With ``round_trip`` they are decoded and
+    compared with the text where they are: a flag is added, and no second copy of the text leaves the task.
     """
     name, shared = _share(df, vocabulary)
-    new = ["tokens", "decoded"] if decoded else ["tokens"]
+    new = ["tokens", *(["decoded"] if decoded else []), *(["round_trip"] if round_trip else [])]
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
+    # A text that is kept goes to Python once.
+    given = text if text in kept else "__text"
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *([] if text in kept else [F.col(f"`{text}`").alias("__text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, shared, pattern)
         for batch in batches:
-            _, offsets = text_bytes(batch.column("__text"))
+            _, offsets = text_bytes(batch.column(given))
             for a, b in row_slices(offsets, _SLICE):
                 part = batch.slice(a, b - a)
-                ids, ends = codec.encode([t or "" for t in part.column("__text").to_pylist()])
+                ids, ends = codec.encode([t or "" for t in part.column(given).to_pylist()])
                 out = [binary_array(ids.astype("<u4").view(np.uint8), ends * 4)]
+                back = codec.decode(ids, ends) if decoded or round_trip else None
                 if decoded:
-                    out.append(binary_array(*codec.decode(ids, ends)))
+                    out.append(binary_array(*back))
+                if round_trip:
+                    out.append(pa.array(_same_rows(*back, *text_bytes(part.column(given))), pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *out], names=[*kept, *new])
 
-    schema = source.select(*[f"`{c}`" for c in kept], *[F.lit(b"").alias(c) for c in new]).schema
+    kinds = [F.lit(c == "round_trip" or b"").alias(c) for c in new]
+    schema = source.select(*[f"`{c}`" for c in kept], *kinds).schema
     return source.mapInArrow(run, schema)
 
 

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.support import row_slices, text_bytes
+
 DIMENSIONS = 1 << 15
 # N-grams that every text is granted in its coverage: a few unknown ones prove nothing.
 TAKEN_AS_SEEN = 10
@@ -34,6 +36,7 @@ SAMPLE = 4000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-3, 1e-3
 _PASS = 1 << 22  # characters of one text counted at a time
+_SLICE = 1 << 20  # bytes of texts of a batch that are Python strings at a time
 _letters: np.ndarray | None = None
 
 
@@ -157,10 +160,17 @@ def _temperature(logits: np.ndarray, truth: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``_SLICE`` bytes of text, or of one row."""
+    for batch in batches:
+        for a, b in row_slices(text_bytes(batch.column(text))[1], _SLICE):
+            yield batch.slice(a, b - a)
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, documents = np.zeros(DIMENSIONS, np.int64), 0
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
+    for part in _parts(batches, "text"):
+        for text in part.column("text").to_pylist():
             places, _ = counts(text or "")
             seen[places] += 1
             documents += len(places) > 0
@@ -171,11 +181,11 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [counts(t or "") for t in batch.column("text").to_pylist()]
+    for part in _parts(batches, "text"):
+        found = [counts(t or "") for t in part.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("lang"), batch.column("chance"),
+                part.column("lang"), part.column("chance"),
                 pa.array([p.astype("<u2").tobytes() for p, _ in found], pa.binary()),
                 pa.array([t.astype("<u4").tobytes() for _, t in found], pa.binary()),
             ],
@@ -214,6 +224,18 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAM
     return model
 
 
+def judged(batches: Iterator[pa.RecordBatch], model: Model, text: str, kept: list[str], coverage: bool) -> Iterator[pa.RecordBatch]:
+    """The columns ``kept`` with the outputs of :func:`identify`; the n-grams of one text are held at a time."""
+    names = [*kept, "lang_pred", "score", *(["coverage"] if coverage else [])]
+    for part in _parts(batches, text):
+        found = []
+        for t in part.column(text).to_pylist():
+            grams = counts(t or "")
+            found.append((*model.judge(*grams), model.coverage(*grams) if coverage else 0.0))
+        out = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *out][: len(names)], names=names)
+
+
 def identify(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None, coverage: bool = False) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to ``df`` (or to its columns ``keep``); only the text is looked at.
 
@@ -225,16 +247,13 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, .
     new = ("lang_pred", "score", *(("coverage",) if coverage else ()))
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
 
+    # A text that is kept goes to Python once.
+    given = text if text in kept else "__text"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = [counts(t or "") for t in batch.column("__text").to_pylist()]
-            found = [shared.value.judge(*g) for g in grams]
-            out = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            if coverage:
-                out.append(pa.array([shared.value.coverage(*g) for g in grams], pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *out], names=[*kept, *new])
-
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
+        yield from judged(batches, shared.value, given, kept, coverage)
+
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *([] if text in kept else [F.col(f"`{text}`").alias("__text")]))
     empty = [F.lit("").alias("lang_pred"), *[F.lit(0.0).alias(c) for c in new[1:]]]
     schema = source.select(*[f"`{c}`" for c in kept], *empty).schema
     return source.mapInArrow(run, schema)

@@ -1,6 +1,12 @@
 """The pipeline's stages, one after the other."""
 
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline as pipeline
+from strata.llm import bpe, langid
 from tests.llm import brute
 from tests.llm.test_operators import DOCS, SF_DIR, near_copies
 
@@ -44,3 +50,34 @@ def test_null_ids_and_empty_tables(spark):
     kept = pipeline.near_copies(spark, docs, "").collect()
     assert len(kept) == 3 and 7 in {r.doc_id for r in kept} and "" in {r.text for r in kept}
     assert pipeline.tokens(spark, docs.limit(0), "").count() == 0
+
+
+def test_one_copy_of_the_text_for_tokens(spark):
+    """The text goes to Python once and does not come back; the flag is still that of the decoded ids."""
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(["a b", None, "", "é日 " * 9])], DOCS)
+    coded = pipeline.tokens(spark, docs, "")
+    assert coded.columns == ["doc_id", "lang", "source", "n_tokens", "tokens", "round_trip"]
+    assert [r.round_trip for r in coded.orderBy("doc_id").collect()] == [True] * 4
+    assert "decoded" not in coded._jdf.queryExecution().analyzed().toString()
+    for kept in (("doc_id", "text"), ("doc_id",)):
+        both = bpe.encode(docs, pipeline.VOCABULARY, ".", keep=kept, decoded=True, round_trip=True)
+        assert "__text" not in both._jdf.queryExecution().analyzed().toString() or "text" not in kept
+        for r in both.collect():
+            assert (bytes(r.decoded) == (docs.filter(docs.doc_id == r.doc_id).first().text or "").encode()) == r.round_trip
+    given = (np.frombuffer(b"abcd", np.uint8), np.array([0, 1, 1, 4]))
+    assert bpe._same_rows(*given, np.frombuffer(b"abce", np.uint8), np.array([0, 1, 1, 4])) == [True, True, False]
+    assert bpe._same_rows(*given, np.frombuffer(b"abcd", np.uint8), np.array([0, 0, 1, 4])) == [False, False, True]
+
+
+def test_languages_of_a_large_batch_in_little_memory():
+    """Memory follows one text's n-grams, not those of all texts of a batch."""
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 2000))) for _ in range(1000)]
+    model = langid.Model(["en"], np.ones(langid.DIMENSIONS), np.zeros((langid.DIMENSIONS, 1), np.float32), np.zeros(1), 1.0)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    langid.counts("a")
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in langid.judged(iter([batch]), model, "text", ["text"], True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 20e6
