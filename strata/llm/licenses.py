@@ -7,15 +7,17 @@ the sentences and, of a sentence on several lines, also each line, as headings h
 stop. Their features are words and word pairs, hashed; a multinomial logistic regression with
 an L1 penalty tells the families of ``TEMPLATES`` and the class ``unknown`` apart. It is
 trained here: the families' examples are the templates, whole, in part and amid ordinary
-candidates; ``unknown`` has ``SAMPLE`` candidates of the corpus, chosen by hash from about ``TEXTS`` times as
-many different texts, themselves chosen by hash, that share too little with any template. As many other candidates calibrate the unknown class: a family's
-probability has to exceed what all but ``ERROR`` of them reach. A prediction counts when a
-template of the predicted family agrees: at least ``AGREE`` of a template sentence's word
-triples are in the candidate. A sentence counts once a family: by its lines that are notices
+candidates; ``unknown`` has every different candidate of the corpus that is judged (it holds a
+telling word, see ``telling_words``; no other candidate can become a notice) and shares too
+little with any template. No text and no candidate is left out by chance. The same candidates
+calibrate the unknown class: a family's probability has to exceed what all but ``ERROR`` of
+them reach. A prediction counts when a template of the predicted family agrees: at least
+``AGREE`` of a template sentence's word triples are in the candidate. A sentence counts once a family: by its lines that are notices
 alone, or else as a whole, at its first line that holds three words of a template.
 
-Everything is DataFrame functions and Spark's DataFrame-based ML; only the training sample
-and its model, both of bounded size, pass the driver.
+Everything is DataFrame functions and Spark's DataFrame-based ML; only the model and its
+gradients, both of bounded size, pass the driver. Texts are cut into candidates once: those
+with a telling word are stored, and training and judging read them.
 
 Rows: null and blank texts have no paragraphs. Repeated rows stay. Null ids are allowed. Extra
 columns are not read. An empty table gives an empty table.
@@ -28,7 +30,7 @@ import re
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.support import settle
@@ -113,10 +115,11 @@ for _family, _tags in TAGS.items():
     TEMPLATES[_family] += [f"SPDX-License-Identifier: {tag}" for tag in _tags]
 UNKNOWN = "unknown"
 DIMENSIONS = 1 << 13
-SAMPLE = 3000
-# Different texts, times ``SAMPLE``, among which the training candidates are drawn.
-TEXTS = 4
 ERROR = 0.001
+# The rank of the calibrating probability is exact to this share of the candidates: a hundredth of ``ERROR``.
+_RANKS = 100_000
+# Words of an ordinary candidate that an example stands amid.
+_NOISE = 12
 AGREE = 0.6
 # Control characters that stand for: line number from, to; end of a sentence in a line; blank line.
 _FROM, _TO, _STOP, _BLANK = "\x01", "\x02", "\x03", "\x04"
@@ -240,7 +243,7 @@ def _first_line(part: Column, family: Column) -> Column:
 
 
 def _examples(spark: SparkSession) -> DataFrame:
-    """``label, tokens``: the templates, whole and in part."""
+    """``k, label, tokens``: the templates, whole and in part, numbered."""
     rows = []
     for name, templates in TEMPLATES.items():
         for t in [*templates, " ".join(templates)]:
@@ -248,55 +251,50 @@ def _examples(spark: SparkSession) -> DataFrame:
             half = len(tokens) // 2
             rows += [(name, part) for part in (tokens, tokens[: max(half, 5)], tokens[-max(half, 5) :], tokens[1:])]
     array = F.array(*[F.struct(F.lit(n).alias("label"), F.array(*map(F.lit, t)).alias("tokens")) for n, t in rows if t])
-    return spark.range(1).select(F.explode(array).alias("x")).select("x.label", "x.tokens")
+    return spark.range(1).select(F.posexplode(array).alias("k", "x")).select("k", "x.label", "x.tokens")
 
 
-def _hash_line(wanted: int, total: int) -> int:
-    """The 64-bit hash below which about ``wanted`` of ``total`` rows lie."""
-    return min(2**63 - 1, int(wanted / max(total, 1) * 2**64) - 2**63)
-
-
-def train(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> tuple[LogisticRegressionModel, list[str], float]:
-    """The model, its classes in order, and the probability that a family has to exceed."""
-    spark = df.sparkSession
-    tokens = words(F.col("p"))
-    # Only texts with hashes below a line are cut into candidates, each different text once.
-    body = F.col(f"`{text}`")
-    texts = df.select(body.alias("text"), F.xxhash64(body).alias("of")).filter(F.col("of") <= F.lit(_hash_line(TEXTS * sample, df.count())))
-    texts = texts.groupBy("of").agg(F.min("text").alias("text"))
-    found = texts.select(F.explode(_candidates(_marked(F.col("text")))).alias("x")).select(_plain(F.col("x.part")).alias("p"))
+def _ordinary(found: DataFrame) -> DataFrame:
+    """``h, tokens``: the different candidates of ``candidates`` that share too little with any template."""
+    parts = found.filter(F.col("part").isNotNull()).select(_plain(F.col("part")).alias("p"))
     # Equal candidates have one hash, so they are one candidate each.
-    hashed = found.select("p", F.xxhash64("p").alias("h"))
-    drawn = hashed.groupBy("h").agg(F.min("p").alias("p")).orderBy("h").limit(3 * sample)
-    drawn = drawn.select("h", tokens.alias("tokens")).filter(_agreement(F.col("tokens")) < AGREE / 2)
-    ranked = settle(drawn.select("tokens", F.pmod("h", F.lit(2)).alias("side")))
-    usual = ranked.filter("side = 0").limit(sample).select(F.lit(UNKNOWN).alias("label"), "tokens")
-    examples = _examples(spark)
-    # Every example also amid an ordinary candidate's words.
-    amid = usual.select(F.slice("tokens", 1, 12).alias("noise")).limit(4).withColumn("k", F.pmod(F.monotonically_increasing_id(), F.lit(4)))
-    mixed = examples.withColumn("k", F.pmod(F.xxhash64("tokens"), F.lit(4))).join(amid, "k")
-    mixed = mixed.select("label", F.concat("tokens", "noise").alias("tokens"))
+    different = parts.groupBy(F.xxhash64("p").alias("h")).agg(F.min("p").alias("p")).select("h", words(F.col("p")).alias("tokens"))
+    return different.filter(_agreement(F.col("tokens")) < AGREE / 2)
+
+
+def train(found: DataFrame) -> tuple[LogisticRegressionModel, list[str], float]:
+    """The model, its classes in order, and the probability that a family has to exceed, from the rows of ``candidates``."""
+    ordinary = settle(_ordinary(found))
+    usual = ordinary.select(F.lit(UNKNOWN).alias("label"), "tokens", F.lit(False).alias("amid"))
+    numbered = settle(_examples(found.sparkSession))  # some hundred literals, which no later plan should carry
+    examples = numbered.select("label", "tokens", F.lit(False).alias("amid"))
+    # Every ordinary candidate's words stand behind an example, which one its hash decides.
+    noise = ordinary.select(F.pmod("h", F.lit(numbered.count())).cast("int").alias("k"), F.slice("tokens", 1, _NOISE).alias("noise"))
+    mixed = noise.join(F.broadcast(numbered), "k").select("label", F.concat("tokens", "noise").alias("tokens"), F.lit(True).alias("amid"))
     classes = [UNKNOWN, *TEMPLATES]
     number = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))])
-    # Classes weigh alike, whatever their number of examples.
-    rows = examples.union(mixed).union(usual)
-    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    rows = _featured(rows.join(F.broadcast(sizes), "label")).select(  # one row a class
-        number[F.col("label")].alias("label"), "features", (F.lit(1000.0) / F.col("n")).alias("weight")
+    # Classes weigh alike, whatever their number of examples, and in a class plain examples and those amid words.
+    rows = examples.unionByName(mixed).unionByName(usual)
+    sizes = rows.groupBy("label", "amid").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("kinds", F.count(F.lit(1)).over(Window.partitionBy("label")))
+    rows = _featured(rows.join(F.broadcast(sizes), ["label", "amid"])).select(  # two rows a class
+        number[F.col("label")].alias("label"), "features", (F.lit(1000.0) / (F.col("n") * F.col("kinds"))).alias("weight")
     )
     model = LogisticRegression(
         weightCol="weight", regParam=1e-4, elasticNetParam=1.0, maxIter=25, family="multinomial"
     ).fit(settle(rows))
-    others = _featured(ranked.filter("side = 1").limit(sample).select("tokens"))
     top = F.array_max(F.slice(vector_to_array("probability"), 2, len(classes) - 1))
-    reached = model.transform(others).select(F.percentile(top, F.lit(1 - ERROR)).alias("p")).head()
+    reached = model.transform(_featured(ordinary)).select(F.percentile_approx(top, 1 - ERROR, _RANKS).alias("p")).head()
     return model, classes[: model.numClasses], max(0.5, (reached.p if reached and reached.p is not None else 0.5))
 
 
 def find_licenses(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_paragraphs, notices``: confirmed notices as structs of line, family and score."""
-    model, classes, least = train(df, text)
-    scored = model.transform(_featured(candidates(df, doc_id, text).withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))))
+    cut = candidates(df, doc_id, text)
+    # Stored once; the words are cheaper to find again than to store.
+    stored = settle(cut.drop("tokens")).withColumn("tokens", words(_plain(F.col("part"))))
+    model, classes, least = train(stored)
+    scored = model.transform(_featured(stored.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))))
     p = vector_to_array("probability")
     scored = scored.select(
         "doc_id", "row", "n_paragraphs", "sentence", "alone", "part", "tokens",

@@ -456,6 +456,16 @@ def test_license_wordings(spark):
     assert not wrong
 
 
+def test_licenses_learn_from_all_candidates(spark):
+    """Every different candidate that is judged trains the unknown class, however many there are; copies count once."""
+    texts = [f"Words under topic {i} and more. They released item {i} of the series" for i in range(3500)]
+    docs = documents(spark, [*texts, *texts[:50], "Released under the MIT License."])
+    ordinary = licenses._ordinary(licenses.candidates(docs))
+    assert ordinary.count() == 7000
+    rows = licenses.find_licenses(docs).filter("size(notices) > 0").collect()
+    assert [(r.doc_id, [n.family for n in r.notices]) for r in rows] == [(3550, ["MIT"])]
+
+
 def test_licenses_of_odd_tables(spark):
     """An empty table, and repeated rows, which each keep their notice."""
     assert licenses.find_licenses(documents(spark, []).limit(0)).count() == 0
