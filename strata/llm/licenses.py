@@ -259,7 +259,8 @@ def _ordinary(found: DataFrame) -> DataFrame:
     parts = found.filter(F.col("part").isNotNull()).select(_plain(F.col("part")).alias("p"))
     # Equal candidates have one hash, so they are one candidate each.
     different = parts.groupBy(F.xxhash64("p").alias("h")).agg(F.min("p").alias("p")).select("h", words(F.col("p")).alias("tokens"))
-    return different.filter(_agreement(F.col("tokens")) < AGREE / 2)
+    # Stored first: pushed below the words, the comparison would find them anew for every template.
+    return settle(different).filter(_agreement(F.col("tokens")) < AGREE / 2)
 
 
 def train(found: DataFrame) -> tuple[LogisticRegressionModel, list[str], float]:
