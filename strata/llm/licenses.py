@@ -25,6 +25,7 @@ columns are not read. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -118,6 +119,8 @@ DIMENSIONS = 1 << 13
 ERROR = 0.001
 # The rank of the calibrating probability is exact to this share of the candidates: a hundredth of ``ERROR``.
 _RANKS = 100_000
+# Training rows that share one partial gradient (a megabyte) in each pass.
+_GRADIENT_ROWS = 1 << 14
 # Words of an ordinary candidate that an example stands amid.
 _NOISE = 12
 AGREE = 0.6
@@ -263,6 +266,15 @@ def _ordinary(found: DataFrame) -> DataFrame:
     return settle(different).filter(_agreement(F.col("tokens")) < AGREE / 2)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The stored ``rows`` in partitions of about ``_GRADIENT_ROWS``.
+
+    Every pass of the training shuffles a partial gradient a partition: their number has to
+    follow the rows, not the shuffle partitions that the rows come from.
+    """
+    return rows.coalesce(max(1, math.ceil(rows.count() / _GRADIENT_ROWS)))
+
+
 def train(found: DataFrame) -> tuple[LogisticRegressionModel, list[str], float]:
     """The model, its classes in order, and the probability that a family has to exceed, from the rows of ``candidates``."""
     ordinary = settle(_ordinary(found))
@@ -283,7 +295,7 @@ def train(found: DataFrame) -> tuple[LogisticRegressionModel, list[str], float]:
     )
     model = LogisticRegression(
         weightCol="weight", regParam=1e-4, elasticNetParam=1.0, maxIter=25, family="multinomial"
-    ).fit(settle(rows))
+    ).fit(_packed(settle(rows)))
     top = F.array_max(F.slice(vector_to_array("probability"), 2, len(classes) - 1))
     reached = model.transform(_featured(ordinary)).select(F.percentile_approx(top, 1 - ERROR, _RANKS).alias("p")).head()
     return model, classes[: model.numClasses], max(0.5, (reached.p if reached and reached.p is not None else 0.5))

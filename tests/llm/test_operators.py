@@ -466,6 +466,34 @@ def test_licenses_learn_from_all_candidates(spark):
     assert [(r.doc_id, [n.family for n in r.notices]) for r in rows] == [(3550, ["MIT"])]
 
 
+def test_licenses_train_on_partitions_by_rows(spark, monkeypatch):
+    """A pass shuffles a partial gradient a partition: shuffle partitions must not set their number."""
+    seen = []
+
+    class Seen(licenses.LogisticRegression):
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return super().fit(rows)
+
+    monkeypatch.setattr(licenses, "LogisticRegression", Seen)
+    docs = documents(spark, [f"His license number {i} was renewed in town {i}." for i in range(200)])
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        found = licenses.settle(licenses.candidates(docs))
+        licenses.train(found)
+        monkeypatch.setattr(licenses, "_GRADIENT_ROWS", 300)
+        licenses.train(found)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    (one, n), (more, m) = seen
+    assert n == m > 400  # every candidate, plain and behind an example
+    assert (one, more) == (1, -(-n // 300))
+
+
 def test_licenses_of_odd_tables(spark):
     """An empty table, and repeated rows, which each keep their notice."""
     assert licenses.find_licenses(documents(spark, []).limit(0)).count() == 0
