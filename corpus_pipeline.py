@@ -43,9 +43,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), digest))
     found = jaccard.join_similar(rows.select(F.col("__key").alias("doc_id"), "text"))
     stay = found.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("__key")).distinct()
-    # Repeated rows are copies too.
-    kept = rows.withColumn("__mark", F.xxhash64("text")).join(stay, "__key", "left_semi")
-    return kept.dropDuplicates(["__key", "__mark"]).select(*docs.columns)
+    # Repeated rows are copies too. They go first: dealt by the key, texts are shuffled and sorted once for both steps.
+    different = rows.withColumn("__mark", F.xxhash64("text")).repartition("__key").dropDuplicates(["__key", "__mark"])
+    return different.join(stay, "__key", "left_semi").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

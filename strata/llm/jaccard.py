@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.shingles import mix, shingles, words
-from strata.llm.support import binary_array, row_slices, settle, text_bytes, whole_groups
+from strata.llm.support import binary_array, row_slices, settle, small_batches, text_bytes, whole_groups
 
 THRESHOLD = 0.8
 HASHES, BANDS = 128, 32
@@ -40,6 +40,8 @@ STEP = 16
 TOLERANCE = 1e-6
 TILE = 1024
 _SLICE = 1 << 20
+# Rows a batch between Spark and Python: whole texts, shingle sets or lists of partners stand in them.
+_ROWS = 1000
 _PAIRS = 1 << 17
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _XOR = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32)
@@ -319,7 +321,9 @@ def join_similar(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     the documents with the same words, ``n_links`` the number of other documents at the
     threshold or above, copies included.
     """
-    documents = settle(_classes(df, doc_id, text))
+    session = df.sparkSession
+    with small_batches(session, _ROWS):
+        documents = settle(_classes(df, doc_id, text))
     full = F.length("signature") > 0
     classes = documents.filter(full).groupBy(F.col("words").alias("class")).agg(
         F.min("doc_id").alias("text_id"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")
@@ -348,13 +352,15 @@ def join_similar(df: DataFrame, doc_id: str = "doc_id", text: str = "text", thre
     met = met.select(job.alias("job"), "class", "band", "tile", (F.col("tile") != F.col("with")).alias("mixed"))
     groups = met.join(classes.select("class", "copies", "signature"), "class")
     groups = groups.repartition("job").sortWithinPartitions("job")
-    candidates = settle(groups.mapInArrow(_prune, "job binary, class binary, copies long, partners array<binary>"))
+    with small_batches(session, _ROWS):
+        candidates = settle(groups.mapInArrow(_prune, "job binary, class binary, copies long, partners array<binary>"))
 
     wanted = candidates.select("class").distinct().join(classes.select("class", "text_id"), "class")
     source = df.select(F.col(f"`{doc_id}`").cast("long").alias("text_id"), F.col(f"`{text}`").alias("text"))
     sets = _set_rows(source.join(wanted, source["text_id"].eqNullSafe(wanted["text_id"])).select("class", "text"))
     checked = candidates.join(sets, "class").repartition("job").sortWithinPartitions("job")
-    found = settle(checked.mapInArrow(_verify(threshold), "class binary, links long, other binary"))
+    with small_batches(session, _ROWS):
+        found = settle(checked.mapInArrow(_verify(threshold), "class binary, links long, other binary"))
 
     counted = found.groupBy("class").agg(F.sum("links").alias("links"))
     smallest = components(found.select(F.col("class").alias("a"), F.col("other").alias("b")))

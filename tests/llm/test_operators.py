@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from strata.llm import boilerplate, bpe, jaccard, langid, licenses, mixing, pii, queries, repeats, sketch, topk
+from strata.llm import boilerplate, bpe, jaccard, langid, licenses, mixing, pii, queries, repeats, sketch, support, topk
 from tests.llm import brute
 from tests.oracle import connect, difference
 
@@ -389,6 +389,25 @@ def test_language_of_odd_texts(spark):
 # ---------------------------------------------------------------------- 8, licences
 
 
+def test_jaccard_sends_small_batches(spark, monkeypatch):
+    """Texts, shingle sets and partners reach Python a bounded number of rows at once; the session's setting comes back."""
+    name, plain, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", jaccard.settle, []
+
+    def settled(df):
+        if "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString():
+            seen.append(int(spark.conf.get(name)))
+        return plain(df)
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard, "settle", settled)
+    texts = dict(enumerate(near_copies()))
+    got = {r.doc_id: r for r in jaccard.join_similar(documents(spark, list(texts.values()))).collect()}
+    assert {i: r.class_id for i, r in got.items()} == {i: root for i, (_, root) in brute.jaccard_classes(texts).items()}
+    assert len(seen) == 3 and max(seen) <= jaccard._ROWS and spark.conf.get(name) == before
+    with support.small_batches(spark, 10**9):
+        assert spark.conf.get(name) == before
+
+
 def test_licenses(spark):
     plain = [f"some ordinary words about topic {i} and more of {i * 7}\nanother line {i}" for i in range(60)]
     texts = [*plain, "text\nReleased under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under some other terms entirely", *ODD[:5]]

@@ -52,6 +52,24 @@ def test_null_ids_and_empty_tables(spark):
     assert pipeline.tokens(spark, docs.limit(0), "").count() == 0
 
 
+def test_near_copies_sort_the_texts_once(spark):
+    """Copies of a row and all but one of a group go in one shuffle and one sort of the texts."""
+    texts = near_copies(20)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] * 2, DOCS)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = pipeline.near_copies(spark, docs, "")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        rows = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # One of the texts, one of the ids that stay.
+    assert plan.count("Sort [__key#") == 2
+    expected = {root for _, root in brute.jaccard_classes(dict(enumerate(texts))).values()}
+    assert sorted(r.doc_id for r in rows) == sorted(expected)
+
+
 def test_one_copy_of_the_text_for_tokens(spark):
     """The text goes to Python once and does not come back; the flag is still that of the decoded ids."""
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(["a b", None, "", "é日 " * 9])], DOCS)
